@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomlink.llm import bpe, packing
+from loomlink.llm import bpe, ngram_join, packing
 
-_MODULES = [bpe, packing]
+_MODULES = [ngram_join, packing, bpe]
 
 
 def queries() -> dict:
