@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomlink.llm import bpe, ngram_join, packing
+from loomlink.llm import bpe, ngram_join, packing, suffix_dedup
 
-_MODULES = [ngram_join, packing, bpe]
+_MODULES = [ngram_join, suffix_dedup, packing, bpe]
 
 
 def queries() -> dict:
