@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomlink.llm import bpe, ngram_join, packing, suffix_dedup
+from loomlink.llm import bpe, chat, ngram_join, packing, suffix_dedup, topk
 
-_MODULES = [ngram_join, suffix_dedup, packing, bpe]
+_MODULES = [ngram_join, suffix_dedup, packing, chat, topk, bpe]
 
 
 def queries() -> dict:
