@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomlink.llm import bpe, chat, ngram_join, packing, suffix_dedup, topk
+from loomlink.llm import bpe, chat, ngram_join, packing, quality_rules, suffix_dedup, topk
 
-_MODULES = [ngram_join, suffix_dedup, packing, chat, topk, bpe]
+_MODULES = [ngram_join, quality_rules, suffix_dedup, packing, chat, topk, bpe]
 
 
 def queries() -> dict:
