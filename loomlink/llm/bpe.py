@@ -15,13 +15,16 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +50,7 @@ def byte_letters() -> dict[str, int]:
 class Automaton:
     """The automaton of one vocabulary file of the tokenizers library (byte-level BPE)."""
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 600_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -66,15 +69,22 @@ class Automaton:
         self.longest = max(map(len, self.ids))
         self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
         self.taken: dict[tuple[int, int], int] = {}
+        self._dead: set[int] = set()
         self._arcs: dict[int, bool] = {}
         self.size = size
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self._arcs.clear()
-        self.words = Words(self, most_words)
+        for k in self._dead:
+            self.ids.pop(self.labels[k], None)
+        self.words = Words(lambda w: self.word(w.encode("utf-8", "surrogatepass")), most_words)
 
     def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
-        if self.born[uv] < 0 and len(self.labels[uv]) > 1:
+        """Adds the arc uv and takes v from u's state, if v can still be read after u and uv isn't there yet."""
+        if u in self._dead or v in self._dead or not self._derive(u, v):
+            self._dead.add(uv) if self.born[uv] < 0 else None
+            return
+        self._dead.discard(uv)
+        if self.born[uv] < 0:
             self.left[uv], self.right[uv], self.born[uv] = u, v, rank
         self.taken[u, v] = rank
 
@@ -107,23 +117,35 @@ class Automaton:
             until, x = born[x], right[x]
 
     def word(self, raw: bytes) -> list[int]:
-        """Ids of one pre-split word: the one path that spells it."""
-        n, ids, arc, longest = len(raw), self.ids, self.arc, self.longest
-        last: list[int] = [-1] * (n + 1)
-        for j in range(n):
+        """Ids of one pre-split word: the one path that spells it.
+
+        Each prefix has one path at most, so a place is entered once; the longest arcs are tried first.
+        """
+        n, ids, arcs, size, longest = len(raw), self.ids, self._arcs, self.size, self.longest
+        whole = ids.get(raw)
+        if whole is not None:
+            return [whole]
+        last, back = {0: -1}, {}
+        open_ = [(0, n if n < longest else longest)]
+        while open_:
+            j, k = open_.pop()
             state = last[j]
-            if state < 0 and j:
-                continue
-            for k in range(j + 1, min(n, j + longest) + 1):
-                if last[k] < 0:
-                    token = ids.get(raw[j:k])
-                    if token is not None and (not j or arc(state, token)):
+            while k > j:
+                if k not in last and (token := ids.get(raw[j:k])) is not None:
+                    if not j or (arcs[key] if (key := state * size + token) in arcs else self.arc(state, token)):
                         last[k] = token
-        out, k = [], n
-        while k:
-            out.append(last[k])
-            k -= len(self.labels[last[k]])
-        return out[::-1]
+                        back[k] = j
+                        if k == n:
+                            out = []
+                            while k:
+                                out.append(last[k])
+                                k = back[k]
+                            return out[::-1]
+                        open_.append((j, k - 1))
+                        open_.append((k, n if n < k + longest else k + longest))
+                        break
+                k -= 1
+        raise ValueError("the vocabulary lacks a byte")
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -145,16 +167,16 @@ class Automaton:
 
 
 class Words(dict):
-    """Encoded words, forgotten when there are too many."""
+    """Encoded words, forgotten when there are too many; spell gives the ids of one."""
 
-    def __init__(self, automaton: Automaton, most: int):
+    def __init__(self, spell: Callable[[str], list[int]], most: int):
         super().__init__()
-        self.automaton, self.most = automaton, most
+        self.spell, self.most = spell, most
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        self[word] = found = np.array(self.automaton.word(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        self[word] = found = pack("<%dI" % len(ids := self.spell(word)), *ids)
         return found
 
 
@@ -164,6 +186,17 @@ def automaton(path: str) -> Automaton:
     return Automaton(path)
 
 
+@lru_cache(2)
+def by_library(path: str) -> Automaton:
+    """Encodes as automaton(path) does, but has tiktoken merge the words of the same vocabulary: for operators that
+    only need the ids."""
+    machine = Automaton(path)
+    ranks = dict(zip(map(machine.labels.__getitem__, machine.ids.values()), machine.ids.values(), strict=True))
+    merges = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    machine.words = Words(merges.encode_ordinary, 1_000_000)
+    return machine
+
+
 def default_path() -> str:
     return public_tokenizers.path(DEFAULT)
 
@@ -178,8 +211,8 @@ def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordB
     """The batch in runs of rows of about `most` bytes of text each, so that memory follows the longest text."""
     at, used = 0, 0
     sizes = batch.column(column)
-    lengths = sizes.offsets.to_numpy() if isinstance(sizes, pa.ListArray) else None
-    lengths = np.diff(lengths) * 4 if lengths is not None else np.array([len(x) if x is not None else 0 for x in sizes.to_pylist()])
+    lengths = pc.list_value_length(sizes) if isinstance(sizes, pa.ListArray) else pc.binary_length(sizes)
+    lengths = lengths.fill_null(0).to_numpy(zero_copy_only=False) * (4 if isinstance(sizes, pa.ListArray) else 1)
     for k, n in enumerate(lengths):
         used += int(n)
         if used >= most:
