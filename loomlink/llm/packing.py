@@ -43,7 +43,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, end: int = END, path: str |
     path = path or bpe.default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, tail = bpe.automaton(path), int(end).to_bytes(4, "little")
+        machine, tail = bpe.by_library(path), int(end).to_bytes(4, "little")
         for whole in batches:
             for batch in bpe.slices(whole, 1, 4 << 20):
                 ids, rows, blobs = batch.column(0), [], []

@@ -36,6 +36,11 @@ def test_any_text_as_the_library(text):
     assert ids(text) == t.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ODD)
+def test_words_by_library_agree(text):
+    assert bpe.by_library(PATH).encode(text) == bpe.automaton(PATH).encode(text)
+
+
 def test_invalid_ids_decode_with_replacement(library):
     some = [random.Random(1).randrange(50257) for _ in range(500)]
     assert bpe.automaton(PATH).decode(np.array(some, np.uint32)) == library.decode(some, skip_special_tokens=False)
