@@ -9,10 +9,12 @@ Sets are handled by size, with the boundary between light and heavy chosen by co
   decides the order only, never the result.
 
 Equal sets are one node. Lists are built in buckets of the shingles' hash range from compact blobs, one for each batch
-and bucket. Lists of up to `SHORT` members give all pairs; longer ones give each member's pairs with its neighbour
-and the first member, which usually connects them. Pairs are verified on the whole sets, gathered by pivot in bins of
-bounded size. For every long list whose members are then not in one component, all remaining pairs across components
-are verified as well, so no link is lost.
+and bucket. Lists of up to `SHORT` members give all pairs. In a longer one, each member is compared with one pivot, the
+member with most of its shingles on long lists. Two members a, b that aren't both linked with their pivot p can only
+link if they differ from p alike: |a n b| = |p| - |p-a| - |p-b| + |(p-a) n (p-b)| + |(a-p) n (b-p)|. So they are put on
+lists again, of the rarest elements of these differences, fewer the larger the differences of both are; and so on,
+while lists are long. Pairs are verified on the whole sets, gathered by pivot in bins of bounded size. No list is cut
+and no link is lost; groups of near copies never meet pair by pair.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing. Rows with equal
 doc_id and different texts each follow their own text. Rows with a null doc_id link with nothing and have a null
@@ -43,6 +45,8 @@ FREQUENT, FREQUENT_BATCH = 131_072, 4096
 SHORT = 8
 #: Entries of inverted lists in a bucket, and members in a bin of pairs to verify.
 BUCKET, BIN = 1_000_000, 256
+#: Rounds of lists of differences; the pairs of lists that are long even then are all verified.
+ROUNDS = 6
 #: Cost of verifying a candidate, in entries.
 VERIFY = 8
 LARGEST_LIGHT = 24
@@ -147,21 +151,60 @@ def lists(docs: DataFrame, light: int, frequent: np.ndarray, n_buckets: int) ->
                 keys.append(entries(x))
             if not nodes:
                 continue
-            member = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) for k in keys])
-            every, nodes, sizes = np.concatenate(keys), np.array(nodes, np.int64), np.array(sizes, np.int32)
-            bucket = ((every >> U64(32)) % U64(n_buckets)).astype(np.int64)
-            at = np.argsort(bucket, kind="stable")
-            every, member, bucket = every[at].astype(np.uint32), member[at], bucket[at]
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            blobs = []
-            for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
-                own, place = np.unique(member[a:b], return_inverse=True)
-                blobs.append(np.array([b - a, len(own)], np.int64).tobytes() + every[a:b].tobytes() + place.astype(np.int32).tobytes() + nodes[own].tobytes() + sizes[own].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+            yield pa.RecordBatch.from_arrays(list(packed(keys, nodes, sizes, n_buckets)), ["bucket", "blob"])
 
     return docs.select("text").mapInArrow(run, "bucket int, blob binary")
 
 
+def packed(keys: list[np.ndarray], nodes: list[int], sizes: list[int], n_buckets: int) -> tuple[pa.Array, pa.Array]:
+    """Buckets and blobs of the members' keys."""
+    member = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) for k in keys])
+    if not len(member):
+        return pa.array([], pa.int32()), pa.array([], pa.binary())
+    every = np.concatenate(keys)
+    node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
+    bucket = ((every >> U64(32)) % U64(n_buckets)).astype(np.int64)
+    at = np.argsort(bucket, kind="stable")
+    every, member, bucket = every[at].astype(np.uint32), member[at], bucket[at]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    blobs = []
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+        own, place = np.unique(member[a:b], return_inverse=True)
+        blobs.append(np.array([b - a, len(own)], np.int64).tobytes() + every[a:b].tobytes() + place.astype(np.int32).tobytes() + node[own].tobytes() + size[own].tobytes())
+    return pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())
+
+
+def differences(p: np.ndarray, a: np.ndarray, pivot: int) -> tuple[np.ndarray, bool]:
+    """Keys of a's lists under pivot p, and whether the two link.
+
+    Where a and b differ from p in x and y elements, they link only if T of these are the same, and T is at least what
+    is reckoned here from a's own numbers and the least that b's class of y (a power of two) adds. Elements outside p
+    come first, as they are rarer.
+    """
+    at = np.minimum(np.searchsorted(p, a), len(p) - 1)
+    inside = p[at] == a
+    common = int(inside.sum())
+    extra, lost = a[~inside], np.delete(p, at[inside])
+    linked = PART * common >= WHOLE * (len(a) + len(p) - common)
+    d = len(extra) + len(lost)
+    if not d:
+        return np.zeros(0, U64), linked
+    order = np.concatenate([extra, lost])
+    own, out = (d + 1).bit_length() - 1, []
+    n, m = len(a), len(p)
+    least_lost = max(0, -(-(WHOLE * m - PART * n) // WHOLE))
+    seed = mix(np.array([pivot & ((1 << 64) - 1)], U64))
+    for k in range((2 * (n + m)).bit_length() + 1):
+        least, most = (1 << k) - 1, (1 << (k + 1)) - 2
+        add = 4 * least_lost + 3 * max(0, least - least_lost)
+        add = max(add, m + 1) if linked else add
+        t = max(1, -(-(3 * n - 4 * m + 7 * len(lost) + add) // 7))
+        if t <= min(d, most):
+            mark = U64(min(own, k) * 64 + max(own, k))
+            out.append(mix(order[: d - t + 1] ^ mix(seed + mark)))
+    return np.concatenate(out) if out else np.zeros(0, U64), linked
+
+
 def unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, nodes, sizes = [], [], []
     for b in blobs:
@@ -175,7 +218,10 @@ def unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def candidates(listed: DataFrame) -> DataFrame:
-    """kind 0: a pair (a, b) to verify. kind 1: member b, of size n, of a long list a."""
+    """kind 0: a pair (a, b) to verify. kind 1: member b, of size n, of a long list a.
+
+    A size is negative for members that link with their pivot; two of these need no comparison.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -191,31 +237,34 @@ def candidates(listed: DataFrame) -> DataFrame:
         size_of = length[run_of]
         left, right = [], []
         for d in range(1, SHORT):
-            i = np.flatnonzero((place >= d) & ((size_of <= SHORT) | (d == 1)))
+            i = np.flatnonzero((place >= d) & (size_of <= SHORT))
             left.append(i), right.append(i - d)
-        i = np.flatnonzero((size_of > SHORT) & (place > 1))
-        left.append(i), right.append(starts[run_of[i]])
         a, b = np.concatenate(left), np.concatenate(right)
-        near = WHOLE * np.maximum(sizes[a], sizes[b]).astype(np.int64) <= PART * np.minimum(sizes[a], sizes[b])
+        size = np.abs(sizes).astype(np.int64)
+        near = WHOLE * np.maximum(size[a], size[b]) <= PART * np.minimum(size[a], size[b])
+        near &= (sizes[a] > 0) | (sizes[b] > 0)
         pairs = np.unique(np.stack([nodes[a[near]], nodes[b[near]]], 1), axis=0) if near.any() else np.zeros((0, 2), np.int64)
-        long = np.flatnonzero(size_of > SHORT)
+        open_ = np.bincount(run_of, weights=sizes > 0)[run_of] > 0
+        long = np.flatnonzero((size_of > SHORT) & open_)
         ids = np.int64(bucket) << 32 | keys[long].astype(np.int64)
         kind = np.r_[np.zeros(len(pairs), np.int8), np.ones(len(long), np.int8)]
-        return pa.table([pa.array(kind), pa.array(np.r_[pairs[:, 0], ids]), pa.array(np.r_[pairs[:, 1], nodes[long]]), pa.array(np.r_[np.zeros(len(pairs), np.int32), sizes[long]])], ["kind", "a", "b", "n"])
+        return pa.table([pa.array(kind), pa.array(np.r_[pairs[:, 0], ids]), pa.array(np.r_[pairs[:, 1], nodes[long]]), pa.array(np.r_[np.zeros(len(pairs), np.int32), np.abs(sizes[long])])], ["kind", "a", "b", "n"])
 
     return listed.groupBy("bucket").applyInArrow(run, "kind byte, a long, b long, n int")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(u, v): linking pairs that connect what pairs (a, b) link; pairs already connected in their bin are left out."""
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_buckets: int) -> DataFrame:
+    """kind 0: links (u, v) that connect what pairs (a, b, star) link. kind 1: (bucket, blob) of the lists of differences
+    from b, for pairs with star. Of the other pairs, those already connected in their bin are left out."""
     spark = pairs.sparkSession
-    homes = stored(pairs.groupBy("a").agg(F.min("b").alias("pivot"), F.collect_set("b").alias("with")), "homes")
+    homes = pairs.groupBy("a").agg(F.min(F.struct(~F.col("star"), "b"))["b"].alias("pivot"), F.collect_list(F.struct("b", "star")).alias("with"))
+    homes = stored(homes, "homes")
     n_bins = max(partitions(spark), ceil(homes.count() / BIN))
     loads = stored(homes.groupBy("pivot").count().where(F.col("count") > BIN), "loads")
     spread = F.pmod(F.xxhash64("a"), F.coalesce(F.ceil(F.col("count") / BIN), F.lit(1)))
     homes = homes.join(loads, "pivot", "left").select("a", "with", F.pmod(F.xxhash64("pivot", spread), F.lit(n_bins)).cast("int").alias("bin"))
     homes = stored(homes, "bins")
-    others = homes.select(F.explode("with").alias("node"), "bin").distinct().select("node", "bin", F.lit(None).cast("array<bigint>").alias("with"))
+    others = homes.select(F.explode("with.b").alias("node"), "bin").distinct().select("node", "bin", F.lit(None).cast("array<struct<b:bigint,star:boolean>>").alias("with"))
     asked = stored(homes.select(F.col("a").alias("node"), "bin", "with").union(others), "asked")
     placed = asked.join(reps, "node").join(docs.select("doc_id", "text"), "doc_id").select("bin", "node", "with", "text")
 
@@ -227,7 +276,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                 if set_key(x) == node:
                     sets[node] = x
             if partners:
-                wanted += [(node, p) for p in partners]
+                wanted += [(not p["star"], node, p["b"]) for p in partners]
         up: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -235,23 +284,43 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                 up[x] = x = up.get(y, y)
             return x
 
-        links = []
-        for a, b in wanted:
+        links, keys, nodes, sizes = [], [], [], []
+        for plain, a, b in sorted(wanted):
             x, y = sets.get(a), sets.get(b)
-            if x is None or y is None or (i := top(a)) == (j := top(b)):
-                continue
-            if len(x) > len(y):
-                x, y = y, x
-            if WHOLE * len(y) > PART * len(x):
+            if x is None or y is None:
                 continue
-            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            if PART * common >= WHOLE * (len(x) + len(y) - common):
+            i, j = top(a), top(b)
+            if plain:
+                if i == j:
+                    continue
+                if len(x) > len(y):
+                    x, y = y, x
+                if WHOLE * len(y) > PART * len(x):
+                    continue
+                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                linked = PART * common >= WHOLE * (len(x) + len(y) - common)
+            else:
+                own, linked = differences(y, x, b)
+                keys.append(own), nodes.append(a), sizes.append(-len(x) if linked else len(x))
+            if linked and i != j:
                 links.append((a, b))
                 up[i] = j
         made = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table([pa.array(made[:, 0]), pa.array(made[:, 1])], ["u", "v"])
+        bucket, blob = packed(keys, nodes, sizes, n_buckets)
+        n, m = len(made), len(blob)
+        none = pa.nulls(m, pa.int64())
+        columns = [pa.array([0] * n + [1] * m, pa.int8()), pa.concat_arrays([pa.array(made[:, 0]), none]), pa.concat_arrays([pa.array(made[:, 1]), none]), pa.concat_arrays([pa.nulls(n, pa.int32()), bucket]), pa.concat_arrays([pa.nulls(n, pa.binary()), blob])]
+        return pa.table(columns, ["kind", "u", "v", "bucket", "blob"])
+
+    return placed.groupBy("bin").applyInArrow(run, "kind byte, u long, v long, bucket int, blob binary")
 
-    return placed.groupBy("bin").applyInArrow(run, "u long, v long")
+
+def stars(long: DataFrame) -> DataFrame:
+    """(a, b): members of long lists with their list's pivot, the member with most of its shingles on long lists."""
+    share = stored(long.groupBy("node").agg((F.count("*") / F.max("n")).alias("share")), "shares")
+    pivots = long.join(share, "node").groupBy("list").agg(F.max_by("node", F.struct("share", "node")).alias("pivot"))
+    met = long.join(stored(pivots, "pivots"), "list").where("node <> pivot")
+    return met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
 
 def unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
@@ -282,15 +351,30 @@ def join(docs: DataFrame) -> DataFrame:
     top = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT)
     frequent = np.array([r["key"] for r in top.select("key").collect()], np.int64).view(U64)  # at most FREQUENT rows
     n_buckets = max(2 * partitions(spark), ceil((sizes["entries"] or 0) / BUCKET))
-    found = stored(candidates(lists(docs.where("doc_id is not null"), light, frequent, n_buckets)), "candidates")
     reps_only = reps.select("node", "doc_id")
-    pairs = found.where("kind = 0").select("a", "b").distinct()
-    edges = stored(verified(pairs, docs, reps_only), "links")
-    parts = stored(components(edges), "components")
-    more = stored(unsettled(found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n"), parts), "unsettled")
-    if not more.isEmpty():
-        edges = stored(edges.union(verified(more, docs, reps_only)), "all_links")
+    found = stored(candidates(lists(docs.where("doc_id is not null"), light, frequent, n_buckets)), "candidates")
+    edges = parts = None
+    for k in range(ROUNDS):
+        pairs = found.where("kind = 0").select("a", "b")
+        if parts is not None:
+            pairs = across(pairs, parts)
+        long = found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n")
+        todo = pairs.select("a", "b", F.lit(False).alias("star")).union(stars(long).select("a", "b", F.lit(True)))
+        todo = stored(todo.groupBy("a", "b").agg(F.max("star").alias("star")), "pairs")
+        if todo.isEmpty():
+            break
+        done = stored(verified(todo, docs, reps_only, n_buckets), "verified")
+        links = done.where("kind = 0").select("u", "v")
+        edges = links if edges is None else edges.union(links)
         parts = stored(components(edges), "components")
+        found = stored(candidates(done.where("kind = 1").select("bucket", "blob")), "candidates")
+    else:
+        long = found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n")
+        more = across(found.where("kind = 0").select("a", "b"), parts).union(unsettled(long, parts)).distinct()
+        links = stored(verified(more.select("a", "b", F.lit(False).alias("star")), docs, reps_only, n_buckets), "verified").where("kind = 0")
+        parts = stored(components(edges.union(links.select("u", "v"))), "components")
+    if parts is None:
+        parts = spark.createDataFrame([], "node long, component long")
     labelled = reps_only.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shared = labelled.select(F.col("component").alias("u"), F.col("doc_id").alias("v"))
     lowest = shared.groupBy("u").agg(F.min("v").alias("component_id"))
@@ -299,6 +383,15 @@ def join(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose members are not in one component yet."""
+    pairs = pairs.distinct()
+    for end in ("a", "b"):
+        side = parts.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(side, end, "left")
+    return pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
 def prefix_column(c: str):
     return F.col(c) - F.ceil(F.col(c) * WHOLE / PART) + 1
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomlink.llm import bpe, chat, ngram_join, packing, pii, quality_rules, suffix_dedup, topk
+from loomlink.llm import bpe, chat, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts, topk
 
-_MODULES = [ngram_join, quality_rules, suffix_dedup, packing, pii, chat, topk, bpe]
+_MODULES = [ngram_join, quality_rules, suffix_dedup, packing, pii, token_counts, quality_classifier, chat, topk, bpe]
 
 
 def queries() -> dict:

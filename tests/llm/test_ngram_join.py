@@ -94,3 +94,37 @@ def test_whole_table_by_brute_force(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nj.op1_ngram_jaccard_join(spark, f"/root/testdata/{sf}").collect()}
     assert got == brute(rows)
+
+
+def test_differences_lose_no_link():
+    rng = random.Random(11)
+    import numpy as np
+
+    for _ in range(300):
+        base = rng.sample(range(10**6), rng.randrange(20, 120))
+        p = np.array(sorted(base), np.uint64)
+        kin = []
+        for _ in range(6):
+            keep = [x for x in base if rng.random() > rng.choice([0.05, 0.2, 0.4])]
+            kin.append(sorted({*keep, *rng.sample(range(40) if rng.random() < 0.5 else range(10**6), rng.randrange(25))}))
+        sets = [np.array(x, np.uint64) for x in kin if x]
+        made = [nj.differences(p, x, 77) for x in sets]
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                link = 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+                if link and not (made[i][1] and made[j][1]):
+                    assert len(np.intersect1d(made[i][0], made[j][0]))
+
+
+def test_many_rounds(spark, monkeypatch):
+    rng = random.Random(21)
+    base = ["b%d" % k for k in range(70)]
+    texts = [" ".join(base)]
+    for _ in range(6):
+        child = edited(rng, base, rng.randrange(2, 7)).split()
+        texts += [edited(rng, child, rng.randrange(4)) for _ in range(25)]
+    rows = list(enumerate(texts))
+    same(spark, rows)
+    monkeypatch.setattr(nj, "ROUNDS", 1)
+    same(spark, rows)
