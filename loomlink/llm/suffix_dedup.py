@@ -349,7 +349,8 @@ def spans(runs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept (the remaining bytes); without text."""
+    """docs with n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept (the remaining bytes) and kept_text (them
+    without characters that were cut in two); without text and without columns that have the names of these."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", "text")
     told = stored(slim.where("doc_id is not null").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").alias("n")).where(f"n >= {LENGTH}"), "digests")
@@ -364,7 +365,7 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     runs = repeated(suffixes(slim, found).repartitionByRange(n_ranges, "lead"))
     runs = stored(runs.union(found.where("known").select("doc_id", "key", "blob")), "runs")
     runs = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "blob")).alias("_loom_runs"))
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text")]
     both = docs.join(runs.withColumnRenamed("doc_id", "_loom_id"), F.col("doc_id") == F.col("_loom_id"), "left").drop("_loom_id")
     both = both.join(copies.withColumnRenamed("doc_id", "_loom_id"), F.col("doc_id") == F.col("_loom_id"), "left").drop("_loom_id")
     both = both.select(*others, "text", "_loom_runs", "_loom_copies")
@@ -392,13 +393,11 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
                 if keep_text:
                     kept.append(rest)
             out = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(others))), *out] + ([pa.array(kept, pa.binary())] if keep_text else []), names)
+            texts = [pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] if keep_text else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(others))), *out, *texts], names)
 
     more = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())]
-    more += [T.StructField("kept", T.BinaryType())] if keep_text else []
-    taken = {f.name for f in more} & set(others)
-    if taken:
-        raise ValueError(f"columns of the input have the names of results: {sorted(taken)}")
+    more += [T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())] if keep_text else []
     names = [*others, *(f.name for f in more)]
     return both.mapInArrow(run, T.StructType([*(docs.schema[c] for c in others), *more]))
 
