@@ -1,11 +1,847 @@
-"""Registered queries of the linkage engine and their SQL."""
+"""Registered queries of the linkage engine over the driver's tables, and their SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from loomlink.functions import similarity as sim
+from loomlink.functions import text as tx
+from loomlink.operators import audit, blocking, checks, decision, evaluate, features, model, sampling
+from loomlink.plans import linkage, oracle
+from loomlink.plans.oracle import DEC, GRAMS, PER, RANKED, RAW, REC, SCORED, STEPS, TRUTH, WORDS, f_beta, with_
+from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
+from loomlink.sources import io
+from loomlink.sources import testdata as td
 
-def oracle_sql() -> dict:
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+THRESHOLD = 0.6
+RULE = decision.Corroboration()
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def register(f):
+        key = name or f.__name__
+        _QUERIES[key] = f
+        if sql:
+            _SQL[key] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _table(spark, d, name):
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _s1(spark, d):
+    return td.records(spark, d).where("src = 1")
+
+
+def _pool(spark, d):
+    rec = td.records(spark, d)
+    return io.pool(rec.where("src = 2"), rec.where("src = 3"))
+
+
+def _refs(spark, d):
+    return td.raw(spark, d).where("src = 1").select(F.col("entity_id").alias(REF))
+
+
+def _links(spark, d):
+    return evaluate.truth_links(td.truth(spark, d))
+
+
+def _lists(spark, d):
+    return evaluate.truth_lists(td.truth(spark, d))
+
+
+def _ranked(spark, d):
+    return features.add_retrieval_features(td.scored(spark, d).select(*PAIR, "score"), check=False)
+
+
+def _accepted(spark, d):
+    return decision.decide(td.decisions(spark, d), THRESHOLD, RULE)
+
+
+B, BT = with_(RAW), with_(RAW, TRUTH)
+BS, BSR = with_(RAW, TRUTH, SCORED), with_(RAW, TRUTH, SCORED, RANKED)
+BR, BRT = with_(RAW, REC), with_(RAW, REC, TRUTH)
+BD = with_(RAW, REC, TRUTH, SCORED, DEC)
+BDS = with_(RAW, REC, TRUTH, SCORED, DEC, STEPS)
+IDS = "source1_entity_id, candidate_entity_id"
+
+# Sources
+
+
+@query(B + "SELECT entity_id, country FROM raw")
+def src03_projected_scan(spark, d):
+    return td.raw(spark, d).select("entity_id", "country")
+
+
+@query(B + "SELECT CAST(src AS INTEGER) AS src, count(*) AS n FROM raw GROUP BY src")
+def src05_row_counts(spark, d):
+    return td.raw(spark, d).groupBy("src").agg(F.count("*").alias("n"))
+
+
+@query(BR + "SELECT entity_id, name_norm, legal_suffix, address_norm, country FROM rec WHERE src = 2")
+def src06_full_split(spark, d):
+    return td.records(spark, d).where("src = 2").select("entity_id", "name_norm", "legal_suffix", "address_norm", "country")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def src07_projected_parquet(spark, d):
+    return io.read_records(spark, f"{d}/events.parquet", ["event_id", "user_id", "event_type"])
+
+
+@query(BT + f"SELECT {IDS} FROM links")
+def src09_truth_links(spark, d):
+    return _links(spark, d)
+
+
+@query(BT + "SELECT ref, ids FROM lists")
+def src09_truth_lists(spark, d):
+    return _lists(spark, d)
+
+
+@query(B + "SELECT DISTINCT r.entity_id FROM raw r JOIN (SELECT DISTINCT 'S1-' || doc_id AS entity_id FROM labels) l ON l.entity_id = r.entity_id")
+def src10_id_set(spark, d):
+    ids = _table(spark, d, "labels").select(F.concat(F.lit("S1-"), "doc_id").alias("entity_id")).distinct()
+    return td.raw(spark, d).select("entity_id").distinct().join(ids, "entity_id", "left_semi")
+
+
+@query(BS + "SELECT 'ungrouped' AS rule, source1_entity_id AS ref, CAST(count(*) AS VARCHAR) AS detail FROM (SELECT source1_entity_id, lag(source1_entity_id) OVER (ORDER BY c * 10000000 + r) AS prior FROM scored) WHERE prior IS NULL OR prior <> source1_entity_id GROUP BY source1_entity_id HAVING count(*) > 1")
+def src12_ungrouped_references(spark, d):
+    return checks.ungrouped(td.scored(spark, d).select(REF, (F.col("c") * 10000000 + F.col("r")).alias("line_no")))
+
+
+_LINES = "lines AS (SELECT CASE WHEN n % 40 = 0 THEN source1_entity_id WHEN n % 41 = 0 THEN source1_entity_id || chr(9) || 'S1-1,S2-2,S2-2' ELSE source1_entity_id || chr(9) || matched_entity_ids END AS value FROM (SELECT *, CAST(split_part(source1_entity_id, '-', 2) AS BIGINT) AS n FROM truth))"
+
+
+@query(with_(RAW, TRUTH, _LINES, "s AS (SELECT value, split_part(value, chr(9), 1) AS ref, CASE WHEN contains(value, chr(9)) THEN substr(value, strpos(value, chr(9)) + 1) END AS list FROM lines), i AS (SELECT *, list_filter(string_split(list, ','), lambda x: x <> '') AS ids FROM s WHERE list IS NOT NULL)") + """
+SELECT 'no_tab' AS rule, value AS ref, CAST(NULL AS VARCHAR) AS detail FROM s WHERE list IS NULL
+UNION ALL SELECT 'repeated_row', ref, CAST(count(*) AS VARCHAR) FROM i GROUP BY ref HAVING count(*) > 1
+UNION ALL SELECT 'repeated_id', ref, list FROM i WHERE len(ids) > len(list_distinct(ids))
+UNION ALL SELECT 'wrong_prefix', ref, list FROM i WHERE len(list_filter(ids, lambda x: NOT regexp_matches(x, '^S[23]-'))) > 0""")
+def src13_id_list_lines(spark, d):
+    n = tx.id_number(F.col(REF))
+    tab = F.lit("\t")
+    value = F.when(n % 40 == 0, F.col(REF)).when(n % 41 == 0, F.concat(REF, tab, F.lit("S1-1,S2-2,S2-2"))).otherwise(F.concat(REF, tab, "matched_entity_ids"))
+    return checks.id_lines(td.truth(spark, d).select(value.alias("value")))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED) + "SELECT entity_id, name_norm, address_norm, country FROM rec WHERE entity_id IN (SELECT source1_entity_id FROM scored UNION SELECT candidate_entity_id FROM scored)", "src14_jn07_record_lookup")
+def src14(spark, d):
+    wanted = td.scored(spark, d).select(F.explode(F.array(*PAIR)).alias("entity_id")).distinct()
+    return td.records(spark, d).join(wanted, "entity_id").select("entity_id", "name_norm", "address_norm", "country")
+
+
+# Sinks
+
+
+@query(BR + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(*) AS n_rows FROM rec" for c in ("name_norm", "legal_suffix", "address_norm")), "snk01_agg16_null_counts")
+def snk01(spark, d):
+    return audit.null_counts(td.records(spark, d), ["name_norm", "legal_suffix", "address_norm"])
+
+
+@query(BS + f"SELECT {IDS}, printf('%.6f', score) AS score FROM scored")
+def snk02_scored_lines(spark, d):
+    return io.scored_lines(td.scored(spark, d))
+
+
+@query(BS + "SELECT r.entity_id AS source1_entity_id, coalesce(l, '') AS candidate_entity_ids FROM raw r LEFT JOIN (SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY score DESC, candidate_entity_id) AS l FROM scored GROUP BY 1) s ON s.source1_entity_id = r.entity_id WHERE r.src = 1", "snk03_agg06_id_lists")
+def snk03(spark, d):
+    return io.id_lists(td.scored(spark, d), _refs(spark, d))
+
+
+@query(BSR + "SELECT r.entity_id AS source1_entity_id, coalesce(l, '') AS candidate_entity_ids FROM raw r LEFT JOIN (SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY candidate_rank) AS l FROM ranked GROUP BY 1) s ON s.source1_entity_id = r.entity_id WHERE r.src = 1")
+def snk04_candidate_lines(spark, d):
+    return io.id_lists(_ranked(spark, d), _refs(spark, d), F.asc("candidate_rank"))
+
+
+@query(BDS + "SELECT r.entity_id AS source1_entity_id, coalesce(l, '') AS matched_entity_ids FROM raw r LEFT JOIN (SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY probability DESC, candidate_entity_id) AS l FROM d4 GROUP BY 1) s ON s.source1_entity_id = r.entity_id WHERE r.src = 1")
+def snk05_matching_lines(spark, d):
+    return io.id_lists(_accepted(spark, d), _refs(spark, d), F.desc("probability"), F.asc(CAND), name="matched_entity_ids")
+
+
+@query(BS + f"SELECT {IDS}, CAST(label AS INTEGER) AS label FROM scored", "snk07_jn02_labels")
+def snk07(spark, d):
+    links = _links(spark, d).withColumn("label", F.lit(1))
+    return td.scored(spark, d).select(*PAIR).join(links, PAIR, "left").select(*PAIR, F.coalesce("label", F.lit(0)).alias("label"))
+
+
+# Filters and checks
+
+
+@query(BR + "SELECT entity_id, name_norm, legal_suffix, address_norm, country FROM rec", "flt01_normalized_records")
+def flt01(spark, d):
+    return tx.normalize_records(td.raw(spark, d))
+
+
+@query(BD + f"SELECT {IDS}, probability FROM dec WHERE probability >= 0.6")
+def flt02_valve(spark, d):
+    return decision.valve(td.decisions(spark, d), THRESHOLD).select(*PAIR, "probability")
+
+
+@query(BD + f"SELECT {IDS}, probability FROM (SELECT *, max(probability) OVER (PARTITION BY source1_entity_id) AS best FROM dec) WHERE best >= 0.6 AND probability >= 0.6", "flt02_win04_valve_by_group")
+def flt02b(spark, d):
+    return decision.valve_by_group(td.decisions(spark, d), THRESHOLD).select(*PAIR, "probability")
+
+
+@query(BD + f"SELECT {IDS} FROM dec WHERE NOT coalesce((NOT {oracle._MISSING} AND address_tfidf_cosine < 0.1 AND address_token_sort < 0.45) OR ({oracle._MISSING} AND probability < 0.8), false)")
+def flt03_corroboration(spark, d):
+    return decision.corroborated(td.decisions(spark, d), RULE).select(*PAIR)
+
+
+@query(BD + f"SELECT {IDS} FROM dec WHERE lower(trim(source1_country)) = lower(trim(candidate_country))")
+def flt04_country_veto(spark, d):
+    return decision.country_veto(td.decisions(spark, d)).select(*PAIR)
+
+
+@query(BRT + "SELECT l.source1_entity_id, l.candidate_entity_id FROM links l JOIN rec ON rec.entity_id = l.source1_entity_id WHERE country = 'India'")
+def flt05_country_slice(spark, d):
+    rec = td.records(spark, d).where("country = 'India'").select(F.col("entity_id").alias(REF))
+    return _links(spark, d).join(rec, REF, "left_semi")
+
+
+_BAD = "bad AS (SELECT CASE WHEN r % 7 = 0 THEN 'X' || source1_entity_id ELSE source1_entity_id END AS source1_entity_id, CASE WHEN c % 11 = 0 THEN 'S1-' || c ELSE candidate_entity_id END AS candidate_entity_id, CASE WHEN c % 13 = 0 THEN -1.0 WHEN c % 17 = 0 THEN 9.0 ELSE score END AS score FROM scored)"
+
+
+def _bad(spark, d):
+    s = td.scored(spark, d)
+    return s.select(
+        F.when(F.col("r") % 7 == 0, F.concat(F.lit("X"), REF)).otherwise(F.col(REF)).alias(REF),
+        F.when(F.col("c") % 11 == 0, F.concat(F.lit("S1-"), F.col("c").cast("string"))).otherwise(F.col(CAND)).alias(CAND),
+        F.when(F.col("c") % 13 == 0, -1.0).when(F.col("c") % 17 == 0, 9.0).otherwise(F.col("score")).alias("score"),
+    )
+
+
+@query(with_(RAW, TRUTH, SCORED, _BAD) + "SELECT 'reference_prefix' AS rule, source1_entity_id AS ref, candidate_entity_id AS detail FROM bad WHERE NOT starts_with(source1_entity_id, 'S1-') UNION ALL SELECT 'candidate_prefix', source1_entity_id, candidate_entity_id FROM bad WHERE NOT regexp_matches(candidate_entity_id, '^S[23]-')")
+def flt06_prefixes(spark, d):
+    return checks.prefixes(_bad(spark, d))
+
+
+@query(B + "SELECT 'id_format' AS rule, e AS ref, CAST(NULL AS VARCHAR) AS detail FROM (SELECT CASE WHEN doc_id % 10 = 3 THEN lower(entity_id) ELSE entity_id END AS e FROM raw) WHERE NOT regexp_full_match(e, 'S[123]-[0-9]+')")
+def flt06_id_format(spark, d):
+    return checks.id_format(td.raw(spark, d).select(F.when(F.col("doc_id") % 10 == 3, F.lower("entity_id")).otherwise(F.col("entity_id")).alias("entity_id")))
+
+
+@query(with_(RAW, TRUTH, SCORED, _BAD) + "SELECT 'score' AS rule, source1_entity_id AS ref, candidate_entity_id AS detail FROM bad WHERE score < 0 OR score > 1.050001")
+def flt07_scores(spark, d):
+    found = checks.scores(_bad(spark, d))
+    return found.withColumn("detail", F.split_part("detail", F.lit(" "), F.lit(1)))
+
+
+@query("SELECT 'pair_repeated' AS rule, 'S1-' || user_id || '|' || event_type AS ref, CAST(count(*) AS VARCHAR) AS detail FROM events GROUP BY user_id, event_type HAVING count(*) > 1")
+def flt08_pair_keys(spark, d):
+    pairs = _table(spark, d, "events").select(F.concat(F.lit("S1-"), "user_id").alias(REF), F.col("event_type").alias(CAND))
+    return checks.pair_keys(pairs)
+
+
+@query("SELECT 'record_repeated' AS rule, 'S1-' || o_custkey AS ref, CAST(count(*) AS VARCHAR) AS detail FROM orders GROUP BY o_custkey HAVING count(*) > 1")
+def flt09_record_keys(spark, d):
+    return checks.record_keys(_table(spark, d, "orders").select(F.concat(F.lit("S1-"), "o_custkey").alias("entity_id")))
+
+
+_FORM = "NOT regexp_full_match({c}, '[a-z0-9]+( [a-z0-9]+)*')"
+
+
+@query(BR + f"""SELECT 'name_form' AS rule, count(*) FILTER (WHERE {_FORM.format(c='name_norm')}) AS violations FROM rec
+UNION ALL SELECT 'address_form', count(*) FILTER (WHERE {_FORM.format(c='address_norm')}) FROM rec
+UNION ALL SELECT 'suffix_without_name', count(*) FILTER (WHERE name_norm IS NULL AND legal_suffix IS NOT NULL) FROM rec
+UNION ALL SELECT 'id_null', count(*) FILTER (WHERE entity_id IS NULL) FROM rec UNION ALL SELECT 'country_null', count(*) FILTER (WHERE country IS NULL) FROM rec""")
+def flt10_normalized_values(spark, d):
+    return checks.normalized_values(td.records(spark, d))
+
+
+@query(BS + "SELECT 'too_many_candidates' AS rule, source1_entity_id AS ref, CAST(count(*) AS VARCHAR) AS detail FROM scored GROUP BY 2 HAVING count(*) > 50")
+def flt11_too_many(spark, d):
+    return checks.too_many(td.scored(spark, d))
+
+
+@query(BT + """, half AS (SELECT * FROM truth WHERE CAST(split_part(source1_entity_id, '-', 2) AS BIGINT) % 3 <> 0),
+hl AS (SELECT * FROM links WHERE source1_entity_id IN (SELECT source1_entity_id FROM half))
+SELECT 'reference_without_truth' AS rule, entity_id AS ref, CAST(NULL AS VARCHAR) AS detail FROM raw WHERE src = 1 AND entity_id NOT IN (SELECT source1_entity_id FROM half)
+UNION ALL SELECT 'truth_without_reference', source1_entity_id, NULL FROM half WHERE source1_entity_id NOT IN (SELECT entity_id FROM raw WHERE src = 1)
+UNION ALL SELECT 'unknown_target', source1_entity_id, candidate_entity_id FROM hl WHERE candidate_entity_id NOT IN (SELECT entity_id FROM raw WHERE src = 2)""")
+def flt12_truth_coverage(spark, d):
+    truth = td.truth(spark, d).where(tx.id_number(F.col(REF)) % 3 != 0)
+    raw = td.raw(spark, d)
+    return checks.truth_coverage(truth, evaluate.truth_links(truth), raw.where("src = 1"), raw.where("src = 2"))
+
+
+# Joins
+
+
+@query(with_(RAW, REC, TRUTH, SCORED) + f"SELECT {IDS}, a.name_norm AS source1_name, a.address_norm AS source1_address, b.name_norm AS candidate_name, b.address_norm AS candidate_address FROM scored JOIN rec a ON a.entity_id = source1_entity_id JOIN rec b ON b.entity_id = candidate_entity_id")
+def jn01_join_pairs(spark, d):
+    return features.join_pairs(td.scored(spark, d).select(*PAIR), td.records(spark, d), check=False)
+
+
+@query(BS + f"SELECT {IDS}, coalesce(country, 'UNKNOWN') AS country FROM scored LEFT JOIN (SELECT * FROM raw WHERE doc_id % 4 <> 0) r ON r.entity_id = candidate_entity_id")
+def jn03_attribute_map(spark, d):
+    known = td.raw(spark, d).where("doc_id % 4 <> 0").select(F.col("entity_id").alias(CAND), "country")
+    return td.scored(spark, d).select(*PAIR).join(known, CAND, "left").select(*PAIR, F.coalesce("country", F.lit("UNKNOWN")).alias("country"))
+
+
+@query(BS + f"SELECT {IDS} FROM scored WHERE source1_entity_id IN (SELECT source1_entity_id FROM links)")
+def jn05_semi_join(spark, d):
+    return td.scored(spark, d).select(*PAIR).join(_links(spark, d).select(REF).distinct(), REF, "left_semi").select(*PAIR)
+
+
+@query(BT + "SELECT entity_id FROM raw WHERE src > 1 AND entity_id NOT IN (SELECT candidate_entity_id FROM links)")
+def jn06_anti_join(spark, d):
+    matched = _links(spark, d).select(F.col(CAND).alias("entity_id")).distinct()
+    return td.raw(spark, d).where("src > 1").select("entity_id").join(matched, "entity_id", "left_anti")
+
+
+@query(BDS + "SELECT r.entity_id AS ref, coalesce(ids, []) AS ids FROM raw r LEFT JOIN (SELECT source1_entity_id, list_sort(list(DISTINCT candidate_entity_id)) AS ids FROM d4 GROUP BY 1) p ON p.source1_entity_id = r.entity_id WHERE r.src = 1")
+def jn08_predictions(spark, d):
+    return decision.to_predictions(_accepted(spark, d), _refs(spark, d))
+
+
+@query(with_(RAW, REC, TRUTH, GRAMS) + "SELECT l.source1_entity_id, l.candidate_entity_id, a.field, round(least(sum(a.w * b.w), 1.0), 6) AS cosine FROM links l JOIN wt a ON a.entity_id = l.source1_entity_id JOIN wt b ON b.entity_id = l.candidate_entity_id AND a.field = b.field AND a.gram = b.gram GROUP BY ALL", "jn10_pair_cosines")
+def jn10(spark, d):
+    left, right, _ = blocking.vectors(_s1(spark, d), _pool(spark, d))
+    links = _links(spark, d)
+    return blocking.pair_cosines(left, right).join(links, PAIR, "left_semi").select(*PAIR, "field", F.round("cosine", 6).alias("cosine"))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, f"words AS (SELECT entity_id, {WORDS} AS t FROM rec)") + f"SELECT {IDS}, len(list_intersect(a.t, b.t)) > 0 AS shares FROM scored JOIN words a ON a.entity_id = source1_entity_id JOIN words b ON b.entity_id = candidate_entity_id")
+def jn11_shares_token(spark, d):
+    rec = td.records(spark, d).select("entity_id", tx.tokens(F.col("name_norm"), F.col("address_norm")).alias("t"))
+    side = lambda k, n: rec.select(F.col("entity_id").alias(k), F.col("t").alias(n))
+    pairs = td.scored(spark, d).select(*PAIR).join(side(REF, "a"), REF).join(side(CAND, "b"), CAND)
+    return pairs.select(*PAIR, F.arrays_overlap("a", "b").alias("shares"))
+
+
+@query(with_(RAW, TRUTH, SCORED) + "SELECT candidate_entity_id, count(DISTINCT source1_entity_id) AS n_refs FROM scored WHERE probability >= 0.6 GROUP BY 1 HAVING count(DISTINCT source1_entity_id) > 1", "jn13_contested")
+def jn13(spark, d):
+    return evaluate.contested(td.scored(spark, d).where("probability >= 0.6"))
+
+
+@query(BT + """, few AS (SELECT entity_id FROM raw WHERE src > 1 ORDER BY entity_id LIMIT 12)
+SELECT source1_entity_id, candidate_entity_id, 1 AS label FROM links
+UNION ALL SELECT ref, min(entity_id), 0 FROM lists, few WHERE NOT list_contains(ids, entity_id) GROUP BY ref""", "jn14_fixture_pairs")
+def jn14(spark, d):
+    return linkage.fixture_pairs(td.truth(spark, d), td.raw(spark, d).where("src > 1"))
+
+
+@query(with_(RAW, TRUTH, SCORED, RANKED, PER) + "SELECT source1_entity_id, n_true, n_found, n_candidates FROM per", "jn15_agg24_found_per_reference")
+def jn15(spark, d):
+    return evaluate.per_reference(_ranked(spark, d).where("candidate_rank <= 20"), _links(spark, d), _refs(spark, d))
+
+
+# Aggregations
+
+
+_IDF = "tk AS (SELECT entity_id, unnest(string_split(name_norm, ' ')) AS token FROM rec WHERE name_norm IS NOT NULL), voc AS (SELECT token, count(*) AS tf, count(DISTINCT entity_id) AS df FROM tk GROUP BY token), widf AS (SELECT token, ln((1 + n) / (1.0 + df)) + 1 AS idf FROM voc, (SELECT count(*) AS n FROM rec WHERE name_norm IS NOT NULL))"
+
+
+@query(with_(RAW, REC, _IDF) + "SELECT token, round(idf, 9) AS idf FROM widf", "agg01_word_idf")
+def agg01(spark, d):
+    return features.word_idf(td.records(spark, d), "name_norm").select("token", F.round("idf", 9).alias("idf"))
+
+
+@query(with_(RAW, REC, _IDF) + "SELECT token, round(idf, 9) AS idf FROM widf JOIN voc USING (token) ORDER BY tf DESC, token LIMIT 200", "agg02_vocabulary_cap")
+def agg02(spark, d):
+    return features.word_idf(td.records(spark, d), "name_norm", 200).select("token", F.round("idf", 9).alias("idf"))
+
+
+@query(with_(RAW, REC, GRAMS) + "SELECT field, gram, round(idf, 9) AS idf FROM idf", "agg03_gram_idf")
+def agg03(spark, d):
+    pool = _pool(spark, d)
+    return blocking.gram_idf(blocking.gram_counts(pool), pool.agg(F.count("*").alias("n"))).select("field", "gram", F.round("idf", 9).alias("idf"))
+
+
+@query(with_(RAW, REC, GRAMS) + "SELECT entity_id, field, count(*) AS n_grams, round(sum(w * w), 6) AS length, round(max(w), 6) AS most FROM wt WHERE src = 1 GROUP BY entity_id, field", "agg03_sim08_unit_vectors")
+def agg03b(spark, d):
+    left, _, _ = blocking.vectors(_s1(spark, d), _pool(spark, d))
+    return left.groupBy("entity_id", "field").agg(F.count("*").alias("n_grams"), F.round(F.sum(F.col("w") * F.col("w")), 6).alias("length"), F.round(F.max("w"), 6).alias("most"))
+
+
+@query(with_(RAW, REC) + f"SELECT token, count(*) AS n, min(entity_id) AS first FROM (SELECT entity_id, unnest({WORDS}) AS token FROM rec) GROUP BY token", "agg04_token_index")
+def agg04(spark, d):
+    return blocking.token_index(td.records(spark, d))
+
+
+@query(BS + "SELECT source1_entity_id AS ref, list_sort(list(DISTINCT candidate_entity_id)) AS ids FROM scored GROUP BY 1", "agg05_retrieved_sets")
+def agg05(spark, d):
+    return td.scored(spark, d).groupBy(F.col(REF).alias("ref")).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
+
+
+@query(with_(RAW, TRUTH, SCORED, RANKED, PER) + "SELECT CAST(sum(n_true) AS BIGINT) AS n_links, CAST(sum(n_found) AS BIGINT) AS n_found, CASE WHEN sum(n_true) > 0 THEN sum(n_found) / sum(n_true)::DOUBLE ELSE 0.0 END AS recall FROM per", "agg07_blocking_recall")
+def agg07(spark, d):
+    return evaluate.blocking_recall(_ranked(spark, d).where("candidate_rank <= 20"), _links(spark, d), _refs(spark, d))
+
+
+@query(with_(RAW, TRUTH, SCORED, RANKED, PER) + """SELECT count(*) AS n_references, count(*) FILTER (WHERE n_true = 0) AS n_singletons, CAST(sum(n_true) AS BIGINT) AS n_links, CAST(sum(n_found) AS BIGINT) AS n_found,
+  round(sum(n_found)::DOUBLE / sum(n_true), 9) AS micro_recall, round(avg(n_found::DOUBLE / n_true) FILTER (WHERE n_true > 0), 9) AS macro_recall, count(*) FILTER (WHERE n_true > 0 AND n_found = n_true) AS n_whole,
+  count(*) FILTER (WHERE n_true > 0 AND n_found = 0) AS n_lost, count(*) FILTER (WHERE n_candidates = 0) AS n_without_candidates, CAST(sum(n_candidates) AS BIGINT) AS n_pairs,
+  min(n_candidates) AS min_candidates, max(n_candidates) AS max_candidates, round(avg(n_candidates), 9) AS mean_candidates FROM per""", "agg08_blocking_metrics")
+def agg08(spark, d):
+    m = evaluate.blocking_metrics(_ranked(spark, d).where("candidate_rank <= 20"), _links(spark, d), _refs(spark, d))
+    return m.withColumns({c: F.round(c, 9) for c in ("micro_recall", "macro_recall", "mean_candidates")})
+
+
+_F = "pr AS (SELECT l.ref, len(l.ids) AS t, coalesce(p.n, 0) AS p, coalesce(p.tp, 0) AS tp FROM lists l LEFT JOIN (SELECT source1_entity_id, count(*) AS n, sum(label) AS tp FROM d4 GROUP BY 1) p ON p.source1_entity_id = l.ref)"
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, DEC, STEPS, _F) + f"SELECT ref, round({f_beta('tp', 'p', 't')}, 9) AS f FROM pr", "agg09_sim09_reference_scores")
+def agg09(spark, d):
+    scored = decision.reference_scores(decision.to_predictions(_accepted(spark, d), _refs(spark, d)), _lists(spark, d))
+    return scored.select("ref", F.round("f", 9).alias("f"))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, DEC, STEPS, _F) + f"SELECT round(avg({f_beta('tp', 'p', 't')}), 9) AS macro_f FROM pr", "agg10_macro_score")
+def agg10(spark, d):
+    out = decision.macro_score(decision.to_predictions(_accepted(spark, d), _refs(spark, d)), _lists(spark, d))
+    return out.select(F.round("macro_f", 9).alias("macro_f"))
+
+
+_SWEEP = """th AS (SELECT i / 100.0::DOUBLE AS threshold FROM (SELECT unnest(range(2, 99)) AS i)),
+own AS (SELECT threshold, source1_entity_id, candidate_entity_id, label FROM dec, th WHERE probability >= threshold QUALIFY row_number() OVER (PARTITION BY threshold, candidate_entity_id ORDER BY probability DESC, source1_entity_id) = 1),
+cnt AS (SELECT threshold, source1_entity_id, count(*) AS p, sum(label) AS tp FROM own GROUP BY 1, 2),
+swept AS (SELECT threshold, avg(""" + f_beta("coalesce(tp, 0)", "coalesce(p, 0)", "len(ids)") + """) AS macro_f FROM (SELECT threshold, ref, ids FROM th, lists) x LEFT JOIN cnt ON cnt.source1_entity_id = x.ref AND cnt.threshold = x.threshold GROUP BY x.threshold)"""
+_SWEEP = _SWEEP.replace("SELECT threshold, avg(", "SELECT x.threshold, avg(")
+
+
+def _swept(spark, d):
+    return decision.sweep(td.decisions(spark, d), _lists(spark, d), decision.grid(spark))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, DEC, _SWEEP) + "SELECT threshold, round(macro_f, 9) AS macro_f FROM swept", "agg11_jn12_threshold_sweep")
+def agg11(spark, d):
+    return _swept(spark, d).select("threshold", F.round("macro_f", 9).alias("macro_f"))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, DEC, _SWEEP) + "SELECT max(threshold) AS threshold, round(max(macro_f), 9) AS macro_f FROM swept, (SELECT max(macro_f) AS top FROM swept) WHERE abs(macro_f - top) <= 1e-8 + 1e-5 * abs(top)", "srt07_sim11_best_threshold")
+def srt07(spark, d):
+    return decision.best_threshold(_swept(spark, d)).select("threshold", F.round("macro_f", 9).alias("macro_f"))
+
+
+@query(BS + """SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(avg(probability), 9) AS mean_probability, round(avg(label), 9) AS positive_rate FROM (
+  SELECT *, CASE WHEN probability < 0.1 THEN 0 WHEN probability < 0.3 THEN 1 WHEN probability < 0.5 THEN 2 WHEN probability < 0.7 THEN 3 WHEN probability < 0.9 THEN 4 ELSE 5 END AS bin FROM scored) GROUP BY bin""", "agg12_reliability")
+def agg12(spark, d):
+    return decision.reliability(td.scored(spark, d)).withColumns({c: F.round(c, 9) for c in ("mean_probability", "positive_rate")})
+
+
+@query(BS + f""", c AS (SELECT l.ref, len(l.ids) AS t, coalesce(n, 0) AS tp FROM lists l LEFT JOIN (SELECT source1_entity_id, sum(label) AS n FROM scored GROUP BY 1) s ON s.source1_entity_id = l.ref)
+SELECT 'ceiling' AS kind, round(avg({f_beta('tp', 'tp', 't')}), 9) AS macro_f FROM c UNION ALL SELECT 'empty', round(avg(CASE WHEN t = 0 THEN 1.0 ELSE 0.0 END), 9) FROM c""", "agg13_ceilings")
+def agg13(spark, d):
+    lists, refs = _lists(spark, d), _refs(spark, d)
+    best = decision.to_predictions(td.scored(spark, d).where("label = 1"), refs)
+    nothing = refs.select(F.col(REF).alias("ref"), F.array().cast("array<string>").alias("ids"))
+    parts = [decision.macro_score(p, lists).select(F.lit(k).alias("kind"), F.round("macro_f", 9).alias("macro_f")) for k, p in (("ceiling", best), ("empty", nothing))]
+    return parts[0].union(parts[1])
+
+
+@query(BD + "SELECT source1_country AS country, CAST(label AS INTEGER) AS label, count(*) AS n, count(DISTINCT source1_entity_id) AS n_refs FROM dec GROUP BY 1, 2", "agg14_category_counts")
+def agg14(spark, d):
+    return td.decisions(spark, d).groupBy(F.col("source1_country").alias("country"), "label").agg(F.count("*").alias("n"), F.count_distinct(REF).alias("n_refs"))
+
+
+@query(BDS + "SELECT country, count(*) AS n, round(avg(CASE WHEN p.source1_entity_id IS NULL THEN 0 ELSE 1 END), 9) AS match_rate FROM rec LEFT JOIN (SELECT DISTINCT source1_entity_id FROM d4) p ON p.source1_entity_id = entity_id WHERE src = 1 GROUP BY country", "agg15_match_rates")
+def agg15(spark, d):
+    rates = linkage.match_rates(decision.to_predictions(_accepted(spark, d), _refs(spark, d)), _s1(spark, d))
+    return rates.withColumn("match_rate", F.round("match_rate", 9))
+
+
+@query(BT + "SELECT ref AS source1_entity_id, CAST(len(ids) AS BIGINT) AS n_matches FROM lists", "agg17_match_counts")
+def agg17(spark, d):
+    return sampling.match_counts(td.truth(spark, d))
+
+
+_BUCKET = "CASE len(ids) WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '2+' END"
+
+
+@query(BRT + f"SELECT country, bucket, count(*) AS n, round(count(*) / (SELECT count(*) FROM lists)::DOUBLE, 9) AS share FROM (SELECT country, {_BUCKET} AS bucket FROM lists JOIN rec ON entity_id = ref) GROUP BY ROLLUP (country, bucket)", "agg18_sim10_split_summary")
+def agg18(spark, d):
+    counts = sampling.match_counts(td.truth(spark, d)).join(td.records(spark, d).select(F.col("entity_id").alias(REF), "country"), REF)
+    return sampling.split_summary(counts.select("country", sampling.bucket(F.col("n_matches")).alias("bucket"))).withColumn("share", F.round("share", 9))
+
+
+def _audit_sql() -> str:
+    parts = ["count(*) AS n_rows", "count(*) FILTER (WHERE NOT regexp_full_match(entity_id, 'S[123]-[0-9]+')) AS malformed_id", "count(*) FILTER (WHERE NOT starts_with(entity_id, 'S2-')) AS wrong_prefix"]
+    like = ", ".join(f"'{t}'" for t in tx.NULL_TOKENS if t)
+    for c in audit.COLUMNS:
+        strip = f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+        rules = {"empty": f"{c} = ''", "blank": f"{c} <> '' AND {strip} = ''", "null_like": f"lower({strip}) IN ({like})", "quotes": f"contains({c}, '\"')", "control": f"regexp_matches({c}, '[\\x00-\\x1F\\x7F]')", "non_ascii": f"regexp_matches({c}, '[^\\x00-\\x7F]')"}
+        parts += [f"count(*) FILTER (WHERE {v}) AS {c}_{k}" for k, v in rules.items()]
+    return "SELECT " + ", ".join(parts) + " FROM raw"
+
+
+@query(B + _audit_sql(), "agg19_str21_source_audit")
+def agg19(spark, d):
+    return audit.source_counts(td.raw(spark, d), "S2-")
+
+
+@query("SELECT CAST(len(string_split(text, ' ')) AS BIGINT) AS n_columns, count(*) AS n FROM documents GROUP BY 1", "agg19_column_histogram")
+def agg19b(spark, d):
+    return audit.column_histogram(_table(spark, d, "documents").select(F.translate("text", "\t ", " \t").alias("value")))
+
+
+@query("""WITH many AS (SELECT 'S1-' || o_custkey AS id, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1)
+SELECT CAST(sum(n - 1) AS BIGINT) AS repeat_rows, count(*) AS ids_affected, max(n) AS most, (SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT id FROM many ORDER BY id LIMIT 5)) AS examples FROM many""", "agg20_srt08_duplicate_ids")
+def agg20(spark, d):
+    return audit.duplicate_ids(_table(spark, d, "orders").select(F.concat(F.lit("S1-"), "o_custkey").alias("entity_id")))
+
+
+@query(BT + """, i AS (SELECT source1_entity_id, matched_entity_ids AS m, list_filter(string_split(matched_entity_ids, ','), lambda x: x <> '') AS ids FROM truth),
+k AS (SELECT candidate_entity_id, count(*) AS n FROM links GROUP BY 1)
+SELECT count(*) AS n_refs, count(*) FILTER (WHERE len(ids) = 0) AS n_zero, count(*) FILTER (WHERE len(ids) = 1) AS n_one, count(*) FILTER (WHERE len(ids) >= 2) AS n_more, CAST(max(len(ids)) AS BIGINT) AS most,
+  count(*) FILTER (WHERE len(ids) > len(list_distinct(ids))) AS repeated_in_list, count(*) FILTER (WHERE m <> '' AND list_contains(list_transform(string_split(m, ','), lambda x: trim(x)), '')) AS empty_item,
+  count(*) FILTER (WHERE len(list_filter(ids, lambda x: NOT regexp_matches(x, '^S[23]-'))) > 0) AS wrong_prefix, count(*) FILTER (WHERE NOT starts_with(source1_entity_id, 'S1-')) AS wrong_reference,
+  (SELECT count(*) FROM k WHERE n > 1) AS shared_targets, (SELECT count(*) FROM k) AS matched, (SELECT count(*) FROM links WHERE candidate_entity_id NOT IN (SELECT entity_id FROM raw WHERE src > 1)) AS unknown_targets,
+  (SELECT count(*) FROM truth WHERE source1_entity_id NOT IN (SELECT entity_id FROM raw WHERE src = 1)) AS unknown_refs, (SELECT count(*) FROM raw WHERE src > 1 AND entity_id NOT IN (SELECT candidate_entity_id FROM links)) AS unmatched FROM i""", "agg21_truth_audit")
+def agg21(spark, d):
+    raw = td.raw(spark, d)
+    return audit.truth_counts(td.truth(spark, d), raw.where("src = 1"), raw.where("src > 1"))
+
+
+@query(BT + "SELECT CAST(len(ids) AS BIGINT) AS n_matches, count(*) AS n FROM lists GROUP BY 1", "agg22_matches_histogram")
+def agg22(spark, d):
+    return audit.matches_histogram(sampling.match_counts(td.truth(spark, d)))
+
+
+@query(BT + "SELECT CASE WHEN contains(m, 'S2-') AND contains(m, 'S3-') THEN 'S2+S3' WHEN contains(m, 'S2-') THEN 'S2' WHEN contains(m, 'S3-') THEN 'S3' ELSE 'none' END AS sources, count(*) AS n FROM (SELECT matched_entity_ids AS m FROM truth) GROUP BY 1", "agg22_composition")
+def agg22b(spark, d):
+    return audit.composition(td.truth(spark, d))
+
+
+@query(BRT + "SELECT country, count(*) FILTER (WHERE len(ids) = 0) AS zero, count(*) FILTER (WHERE len(ids) = 1) AS one, count(*) FILTER (WHERE len(ids) >= 2) AS more FROM lists JOIN rec ON entity_id = ref GROUP BY country", "agg22_by_country")
+def agg22c(spark, d):
+    return audit.by_country(sampling.match_counts(td.truth(spark, d)), td.records(spark, d))
+
+
+@query(B + "SELECT count(*) AS n_shared FROM (SELECT 'S1-' || doc_id AS e FROM raw INTERSECT SELECT 'S1-' || doc_id FROM labels)", "agg23_set03_overlap")
+def agg23(spark, d):
+    ids = lambda t: _table(spark, d, t).select(F.concat(F.lit("S1-"), "doc_id").alias("entity_id"))
+    return audit.overlap(ids("documents"), ids("labels"))
+
+
+@query(B + "SELECT country, count(*) FILTER (WHERE src = 1) AS s1, count(*) FILTER (WHERE src = 2) AS s2, count(*) FILTER (WHERE src = 3) AS s3 FROM raw GROUP BY country", "agg23_country_pivot")
+def agg23b(spark, d):
+    out = td.raw(spark, d).groupBy("country").pivot("src", [1, 2, 3]).count()
+    return out.select("country", *[F.coalesce(F.col(str(k)), F.lit(0)).cast("long").alias(f"s{k}") for k in (1, 2, 3)])
+
+
+@query(BDS + " UNION ALL ".join(f"SELECT '{s}' AS stage, count(*) AS n_pairs, CAST(coalesce(sum(label), 0) AS BIGINT) AS n_true FROM {t}" for s, t in (("0_all", "dec"), ("1_threshold", "d1"), ("2_assigned", "d2"), ("3_corroborated", "d3"), ("4_country", "d4"))), "agg25_pip10_funnel")
+def agg25(spark, d):
+    return decision.funnel(td.decisions(spark, d), THRESHOLD, RULE)
+
+
+# Windows
+
+
+@query(BSR + f"SELECT {IDS}, blocking_score, candidate_rank, round(blocking_top1_top2_gap, 9) AS blocking_top1_top2_gap FROM ranked", "win01_win02_jn04_pip03_retrieval_features")
+def win01(spark, d):
+    return _ranked(spark, d).withColumn("blocking_top1_top2_gap", F.round("blocking_top1_top2_gap", 9))
+
+
+@query(BS + f"SELECT {IDS}, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, c) AS rank FROM scored) WHERE rank <= 10", "win03_top_k_by_position")
+def win03(spark, d):
+    return blocking.top_k(td.scored(spark, d), 10, "c").select(*PAIR, "score", "rank")
+
+
+@query(BD + f"SELECT {IDS}, probability FROM dec QUALIFY row_number() OVER (PARTITION BY candidate_entity_id ORDER BY probability DESC, source1_entity_id) = 1", "win05_win06_assignment")
+def win05(spark, d):
+    return decision.assign(td.decisions(spark, d)).select(*PAIR, "probability")
+
+
+@query("SELECT user_id, count(*) AS n_starts FROM (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prior FROM events) WHERE prior IS NULL OR prior <> event_type GROUP BY user_id", "win07_group_starts")
+def win07(spark, d):
+    prior = F.lag("event_type").over(W.partitionBy("user_id").orderBy("event_id"))
+    starts = _table(spark, d, "events").select("user_id", "event_type", prior.alias("prior")).where("prior is null or prior <> event_type")
+    return starts.groupBy("user_id").agg(F.count("*").alias("n_starts"))
+
+
+@query(BRT + f""", st AS (SELECT ref AS source1_entity_id, country || '|' || {_BUCKET} AS stratum FROM lists JOIN rec ON entity_id = ref)
+SELECT source1_entity_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5('42|' || source1_entity_id), source1_entity_id) <= round_even(0.2 * count(*) OVER (PARTITION BY stratum), 0) AS is_validation FROM st""", "win08_pip11_stratified_split")
+def win08(spark, d):
+    return linkage.split(td.truth(spark, d), td.records(spark, d), 0.2, 42)
+
+
+@query(BT + "SELECT source1_entity_id, item AS candidate_entity_id, CAST(pos AS INTEGER) AS position FROM (SELECT source1_entity_id, unnest(l) AS item, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT source1_entity_id, string_split(matched_entity_ids, ',') AS l FROM truth WHERE matched_entity_ids <> ''))", "win09_list_positions")
+def win09(spark, d):
+    return td.truth(spark, d).where("matched_entity_ids <> ''").select(REF, F.posexplode(F.split("matched_entity_ids", ",")).alias("position", CAND))
+
+
+# Sorts and samples
+
+
+@query(BS + f"SELECT {IDS}, score FROM scored ORDER BY score DESC, source1_entity_id, candidate_entity_id LIMIT 100", "srt01_total_order")
+def srt01(spark, d):
+    return td.scored(spark, d).select(*PAIR, "score").orderBy(F.desc("score"), *PAIR).limit(100)
+
+
+@query(B + "SELECT entity_id FROM raw WHERE src = 1 ORDER BY doc_id, entity_id LIMIT 40", "srt02_lowest_ids")
+def srt02(spark, d):
+    return sampling.lowest_ids(td.raw(spark, d).where("src = 1"), 40).select("entity_id")
+
+
+_MEMBERS = "m AS (SELECT DISTINCT candidate_entity_id AS entity_id FROM links)"
+
+
+@query(with_(RAW, TRUTH, _MEMBERS) + "SELECT entity_id FROM raw WHERE src > 1 AND entity_id IN (SELECT entity_id FROM m) UNION ALL (SELECT entity_id FROM raw WHERE src > 1 AND entity_id NOT IN (SELECT entity_id FROM m) ORDER BY md5('7|' || entity_id), entity_id LIMIT 60)", "srt03_members_and_others")
+def srt03(spark, d):
+    members = _links(spark, d).select(F.col(CAND).alias("entity_id")).distinct()
+    return sampling.members_and_others(td.raw(spark, d).where("src > 1").select("entity_id"), members, 60, 7)
+
+
+@query(B + "SELECT entity_id, md5('7|' || entity_id) AS place FROM raw", "srt04_seeded_shuffle")
+def srt04(spark, d):
+    return sampling.shuffled(td.raw(spark, d).select("entity_id"), 7).select("entity_id", sampling.order_key(F.col("entity_id"), 7).alias("place"))
+
+
+@query(B + "SELECT entity_id FROM (SELECT entity_id, row_number() OVER (ORDER BY md5('7|' || entity_id), entity_id) AS p FROM raw WHERE src = 2) WHERE p <= (SELECT round_even(count(*) FILTER (WHERE src = 2) * 50 / count(*)::DOUBLE, 0) FROM raw)", "srt05_proportional_sample")
+def srt05(spark, d):
+    raw = td.raw(spark, d)
+    return sampling.proportional(raw.where("src = 2").select("entity_id"), 50, raw.agg(F.count("*")), 7)
+
+
+@query(with_(RAW, TRUTH, "refs AS (SELECT entity_id FROM raw WHERE src = 1 ORDER BY doc_id, entity_id LIMIT 100), m AS (SELECT DISTINCT candidate_entity_id AS entity_id FROM links WHERE source1_entity_id IN (SELECT entity_id FROM refs))") + """
+SELECT entity_id FROM refs UNION ALL SELECT entity_id FROM raw WHERE src > 1 AND entity_id IN (SELECT entity_id FROM m)
+UNION ALL (SELECT entity_id FROM raw WHERE src > 1 AND entity_id NOT IN (SELECT entity_id FROM m) ORDER BY md5('7|' || entity_id), entity_id LIMIT 100)""", "srt06_linked_sample")
+def srt06(spark, d):
+    raw = td.raw(spark, d)
+    refs, pool = sampling.linked_sample(raw.where("src = 1").select("entity_id"), raw.where("src > 1").select("entity_id"), _links(spark, d), 100, 7)
+    return refs.union(pool)
+
+
+# Sets
+
+
+@query(BR + "SELECT entity_id, country FROM rec WHERE src = 2 UNION ALL SELECT entity_id, country FROM rec WHERE src = 3", "set01_union_all")
+def set01(spark, d):
+    return _pool(spark, d).select("entity_id", "country")
+
+
+@query(BS + f"SELECT {IDS} FROM scored WHERE score >= 0.9 UNION SELECT {IDS} FROM scored WHERE probability >= 0.9", "set02_union_distinct")
+def set02(spark, d):
+    s = td.scored(spark, d)
+    return s.where("score >= 0.9").select(*PAIR).union(s.where("probability >= 0.9").select(*PAIR)).distinct()
+
+
+@query(BS + "SELECT entity_id FROM raw WHERE src > 1 EXCEPT SELECT candidate_entity_id FROM scored WHERE score >= 0.98", "set04_difference")
+def set04(spark, d):
+    seen = td.scored(spark, d).where("score >= 0.98").select(F.col(CAND).alias("entity_id"))
+    return td.raw(spark, d).where("src > 1").select("entity_id").subtract(seen)
+
+
+@query(BS + "SELECT l.ref, len(list_filter(l.ids, lambda x: NOT list_contains(coalesce(s.ids, []), x))) = 0 AS is_subset FROM lists l LEFT JOIN (SELECT source1_entity_id, list(candidate_entity_id) AS ids FROM scored GROUP BY 1) s ON s.source1_entity_id = l.ref", "set05_subset")
+def set05(spark, d):
+    have = td.scored(spark, d).groupBy(F.col(REF).alias("ref")).agg(F.collect_set(CAND).alias("have"))
+    return _lists(spark, d).join(have, "ref", "left").select("ref", (F.size(F.array_except("ids", F.coalesce("have", F.array().cast("array<string>")))) == 0).alias("is_subset"))
+
+
+@query(BRT + "SELECT entity_id FROM rec WHERE entity_id IN (SELECT source1_entity_id FROM truth WHERE CAST(split_part(source1_entity_id, '-', 2) AS BIGINT) % 2 = 0) OR entity_id IN (SELECT candidate_entity_id FROM links WHERE CAST(split_part(source1_entity_id, '-', 2) AS BIGINT) % 2 = 0)", "set06_training_corpus")
+def set06(spark, d):
+    train = _refs(spark, d).where(tx.id_number(F.col(REF)) % 2 == 0)
+    return features.training_corpus(td.records(spark, d), train, _links(spark, d)).select("entity_id")
+
+
+# Scalar functions, on whole texts
+
+
+@query(f"SELECT doc_id, md5(coalesce({oracle.normalized('text')}, '')) AS digest FROM documents", "str01_str13_normalize_text")
+def str13(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.md5(F.coalesce(tx.normalize_text(F.col("text")), F.lit("")).cast("binary")).alias("digest"))
+
+
+@query("SELECT doc_id, md5(lower(strip_accents(replace(text, 'ß', 'ss')))) AS digest FROM documents", "str06_str07_transliterate")
+def str06(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.md5(F.lower(tx.transliterate(F.col("text"))).cast("binary")).alias("digest"))
+
+
+@query("SELECT doc_id, regexp_matches(text, '[Â-ô][\\x{80}-\\x{BF}]{1,3}') AS suspect FROM documents", "str04_suspect")
+def str04(spark, d):
+    return _table(spark, d, "documents").select("doc_id", tx.is_suspect(F.col("text")).alias("suspect"))
+
+
+@query("SELECT doc_id, md5(regexp_replace(text, '[\\x00-\\x1F\\x7F-\\x{9F}]', ' ', 'g')) AS digest FROM documents", "str05_control_chars")
+def str05(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.md5(tx.control_to_space(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query("SELECT doc_id, md5(replace(replace(replace(text, '&', ' and '), chr(39), ''), '’', '')) AS digest FROM documents", "str08_str09_ampersand_apostrophe")
+def str08(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.md5(tx.drop_apostrophes(tx.ampersand(F.col("text"))).cast("binary")).alias("digest"))
+
+
+@query(BR + "SELECT entity_id, name_norm, legal_suffix FROM rec WHERE legal_suffix IS NOT NULL", "str14_str15_legal_suffix")
+def str14(spark, d):
+    return td.records(spark, d).where("legal_suffix is not null").select("entity_id", "name_norm", "legal_suffix")
+
+
+@query(BR + f"SELECT entity_id, CAST(len({WORDS}) AS INTEGER) AS n_tokens, list_sort({WORDS})[1] AS least FROM rec", "str17_tokens")
+def str17(spark, d):
+    rec = td.records(spark, d).select("entity_id", tx.tokens(F.col("name_norm"), F.col("address_norm")).alias("t"))
+    return rec.select("entity_id", F.size("t").alias("n_tokens"), F.array_min("t").alias("least"))
+
+
+@query(with_(RAW, REC, GRAMS) + "SELECT entity_id, field, CAST(sum(tf) AS BIGINT) AS n, count(*) AS n_distinct, min(gram) AS least FROM g GROUP BY entity_id, field", "str18_char_grams")
+def str18(spark, d):
+    return blocking.gram_counts(td.records(spark, d)).groupBy("entity_id", "field").agg(F.sum("tf").alias("n"), F.count("*").alias("n_distinct"), F.min("gram").alias("least"))
+
+
+@query(B + "SELECT entity_id, doc_id AS number FROM raw", "str19_id_number")
+def str19(spark, d):
+    return td.raw(spark, d).select("entity_id", tx.id_number(F.col("entity_id")).alias("number"))
+
+
+@query(BD + "SELECT source1_country, candidate_country, lower(trim(source1_country)) = lower(trim(candidate_country)) AS same, count(*) AS n FROM dec GROUP BY 1, 2", "str16_country")
+def str16(spark, d):
+    pairs = td.decisions(spark, d)
+    return pairs.select("source1_country", "candidate_country", (decision.country_of("source1_country") == decision.country_of("candidate_country")).alias("same")).groupBy("source1_country", "candidate_country", "same").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(split_part(props, ',', 1) AS VARCHAR) AS first, count(*) AS n FROM events GROUP BY 1", "str20_comma_list")
+def str20(spark, d):
+    return _table(spark, d, "events").select(F.split_part("props", F.lit(","), F.lit(1)).alias("first")).groupBy("first").agg(F.count("*").alias("n"))
+
+
+# Similarities
+
+
+def _joined(spark, d):
+    return features.join_pairs(td.scored(spark, d).select(*PAIR), td.records(spark, d), check=False)
+
+
+@query(with_(RAW, REC, TRUTH, SCORED) + f"SELECT {IDS}, round(jaro_winkler_similarity(a.name_norm, b.name_norm), 6) AS jw FROM scored JOIN rec a ON a.entity_id = source1_entity_id JOIN rec b ON b.entity_id = candidate_entity_id", "sim01_jaro_winkler")
+def sim01(spark, d):
+    return _joined(spark, d).select(*PAIR, F.round(sim.jaro_winkler("source1_name", "candidate_name"), 6).alias("jw"))
+
+
+@query(None, "sim02_token_sort")
+def sim02(spark, d):
+    return _joined(spark, d).select(*PAIR, F.round(sim.token_sort("source1_name", "candidate_name"), 6).alias("ratio"))
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, _IDF, """w AS (SELECT entity_id, token, count(*) AS tf, any_value(idf) AS idf FROM tk JOIN widf USING (token) GROUP BY 1, 2), s AS (SELECT entity_id, sqrt(sum(tf * idf * tf * idf)) AS norm, sum(idf) AS weight FROM w GROUP BY 1),
+p AS (SELECT source1_entity_id, candidate_entity_id FROM scored JOIN rec a ON a.entity_id = source1_entity_id JOIN rec b ON b.entity_id = candidate_entity_id WHERE a.name_norm IS NOT NULL AND b.name_norm IS NOT NULL),
+x AS (SELECT source1_entity_id, candidate_entity_id, sum(a.tf * a.idf * b.tf * b.idf) AS dot, sum(a.idf) AS shared FROM p JOIN w a ON a.entity_id = source1_entity_id JOIN w b ON b.entity_id = candidate_entity_id AND a.token = b.token GROUP BY 1, 2)""") + """
+SELECT p.source1_entity_id, p.candidate_entity_id, round(coalesce(least(dot / (a.norm * b.norm), 1.0), 0), 6) AS cosine, round(coalesce(shared, 0) / (a.weight + b.weight - coalesce(shared, 0)), 6) AS overlap
+FROM p LEFT JOIN x ON x.source1_entity_id = p.source1_entity_id AND x.candidate_entity_id = p.candidate_entity_id JOIN s a ON a.entity_id = p.source1_entity_id JOIN s b ON b.entity_id = p.candidate_entity_id""", "sim03_sim04_word_similarities")
+def sim03(spark, d):
+    out = features.word_similarities(_joined(spark, d), features.word_idf(td.records(spark, d), "name_norm"), "name")
+    return out.select(*PAIR, F.round("cosine", 6).alias("cosine"), F.round("overlap", 6).alias("overlap"))
+
+
+@query(BD + f"SELECT {IDS}, source1_address_missing, candidate_address_missing, address_tfidf_cosine IS NULL AS no_similarity FROM dec", "sim05_sim06_missing")
+def sim05(spark, d):
+    return td.decisions(spark, d).select(*PAIR, "source1_address_missing", "candidate_address_missing", F.col("address_tfidf_cosine").isNull().alias("no_similarity"))
+
+
+@query("SELECT event_id, CAST(CAST(value AS VARCHAR) AS DOUBLE) = value AS exact FROM events", "sim12_decimal_text")
+def sim12(spark, d):
+    return _table(spark, d, "events").select("event_id", (F.col("value").cast("string").cast("double") == F.col("value")).alias("exact"))
+
+
+@query("SELECT doc_id, sha256(text) AS digest FROM documents", "sim13_sha256")
+def sim13(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+
+
+@query(B + "SELECT country, printf('%.4f%%', 100.0 * count(*) / (SELECT count(*) FROM raw)) AS share FROM raw GROUP BY country", "sim14_percentage")
+def sim14(spark, d):
+    raw = td.raw(spark, d)
+    counts = audit.distribution(raw, "country").crossJoin(F.broadcast(raw.agg(F.count("*").alias("total"))))
+    return counts.select("country", sim.percentage(F.col("n"), F.col("total")).alias("share"))
+
+
+# Learning
+
+
+@query(None, "ml01_projection")
+def ml01(spark, d):
+    return blocking.project(_table(spark, d, "embeddings"))
+
+
+@query(None, "ml02_near_vectors")
+def ml02(spark, d):
+    return blocking.similar_vectors(_table(spark, d, "embeddings"))
+
+
+def _training(spark, d):
+    """Features of pairs from the records themselves, with labels and the reference's country."""
+    pairs = td.scored(spark, d)
+    ranked = _ranked(spark, d)
+    joined = features.join_pairs(ranked, td.records(spark, d), check=False)
+    made = features.FeatureExtractor().fit(td.records(spark, d)).transform(joined)
+    out = made.join(ranked, PAIR).join(pairs.select(*PAIR, "label"), PAIR)
+    return out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF)
+
+
+@query(None, "pip04_features")
+def pip04(spark, d):
+    return features.FeatureExtractor().fit(td.records(spark, d)).transform(_joined(spark, d))
+
+
+@query(None, "ml03_ml06_matcher")
+def ml03(spark, d):
+    ready = _training(spark, d)
+    fitted = model.train_matcher(ready, n_folds=3, trees=5)
+    return fitted.predict(ready).select(*PAIR, "label", "probability")
+
+
+@query(None, "ml08_leave_one_country_out")
+def ml08(spark, d):
+    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India", n_folds=3, trees=5)[1]
+
+
+# Programs
+
+
+@query(BDS + f"SELECT {IDS}, probability FROM d4", "pip01_decide")
+def pip01(spark, d):
+    return _accepted(spark, d).select(*PAIR, "probability")
+
+
+_TOP = f""", words AS (SELECT entity_id, src, unnest({WORDS}) AS token FROM rec),
+cosines AS (SELECT source1_entity_id, candidate_entity_id, max(cosine) AS cosine FROM (
+  SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, a.field, least(sum(a.w * b.w), 1.0) AS cosine FROM wt a JOIN wt b ON a.src = 1 AND b.src > 1 AND a.field = b.field AND a.gram = b.gram GROUP BY 1, 2, 3) GROUP BY 1, 2),
+bonus AS (SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM words a JOIN words b ON a.src = 1 AND b.src > 1 AND a.token = b.token),
+pairs AS (SELECT coalesce(c.source1_entity_id, b.source1_entity_id) AS source1_entity_id, coalesce(c.candidate_entity_id, b.candidate_entity_id) AS candidate_entity_id,
+  round(coalesce(cosine, 0) + CASE WHEN b.source1_entity_id IS NULL THEN 0 ELSE 0.05 END, 6) AS score FROM cosines c FULL JOIN bonus b ON b.source1_entity_id = c.source1_entity_id AND b.candidate_entity_id = c.candidate_entity_id)
+SELECT source1_entity_id, candidate_entity_id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, candidate_entity_id) AS rank FROM pairs) WHERE rank <= 50"""
+
+
+@query(with_(RAW, REC, GRAMS).rstrip() + _TOP, "pip02_top_candidates")
+def pip02(spark, d):
+    return blocking.retrieve_candidates(_s1(spark, d), _pool(spark, d), 50, digits=6)
+
+
+_VERIFY = """mt AS (SELECT ref, CASE WHEN CAST(split_part(ref, '-', 2) AS BIGINT) % 50 = 0 THEN list_concat(ids, ['S2-1', 'S1-1']) ELSE ids END AS ids FROM lists WHERE CAST(split_part(ref, '-', 2) AS BIGINT) % 31 <> 0),
+ca AS (SELECT source1_entity_id AS ref, list(candidate_entity_id) AS ids FROM scored GROUP BY 1),
+fl AS (SELECT 'matching' AS file, * FROM mt UNION ALL SELECT 'candidates', * FROM ca), it AS (SELECT file, ref, unnest(ids) AS id FROM fl), s1 AS (SELECT entity_id AS ref FROM raw WHERE src = 1)"""
+
+
+@query(with_(RAW, TRUTH, SCORED, _VERIFY) + """SELECT 'repeated_row' AS rule, ref, file AS detail FROM fl GROUP BY file, ref HAVING count(*) > 1
+UNION ALL SELECT 'missing_reference', ref, 'matching' FROM s1 WHERE ref NOT IN (SELECT ref FROM mt) UNION ALL SELECT 'missing_reference', ref, 'candidates' FROM s1 WHERE ref NOT IN (SELECT ref FROM ca)
+UNION ALL SELECT 'unknown_reference', ref, 'matching' FROM mt WHERE ref NOT IN (SELECT ref FROM s1) UNION ALL SELECT 'unknown_reference', ref, 'candidates' FROM ca WHERE ref NOT IN (SELECT ref FROM s1)
+UNION ALL SELECT 'repeated_id', ref, file || ' ' || id FROM it GROUP BY file, ref, id HAVING count(*) > 1
+UNION ALL SELECT 'self_match', ref, file || ' ' || id FROM it WHERE starts_with(id, 'S1-') UNION ALL SELECT 'wrong_prefix', ref, file || ' ' || id FROM it WHERE NOT regexp_matches(id, '^S[123]-')
+UNION ALL SELECT 'not_a_candidate', m.ref, id FROM (SELECT ref, unnest(list_distinct(ids)) AS id FROM mt) m JOIN ca ON ca.ref = m.ref WHERE NOT list_contains(ca.ids, id)
+UNION ALL SELECT 'several_owners', id, CAST(count(DISTINCT ref) AS VARCHAR) FROM it WHERE file = 'matching' GROUP BY id HAVING count(DISTINCT ref) > 1""", "pip09_val_verify_outputs")
+def pip09(spark, d):
+    n = tx.id_number(F.col("ref"))
+    matching = _lists(spark, d).where(n % 31 != 0).withColumn("ids", F.when(n % 50 == 0, F.concat("ids", F.array(F.lit("S2-1"), F.lit("S1-1")))).otherwise(F.col("ids")))
+    candidates = td.scored(spark, d).groupBy(F.col(REF).alias("ref")).agg(F.collect_list(CAND).alias("ids"))
+    return checks.verify_outputs(matching, candidates, td.raw(spark, d).where("src = 1"))
+
+
+def contract() -> list[str]:
+    """The feature columns, in order."""
+    return list(SCORED_FEATURES if SCORED_FEATURES[: len(FEATURES)] == FEATURES else [])
