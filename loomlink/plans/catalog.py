@@ -732,7 +732,7 @@ def sim02(spark, d):
 @query(with_(RAW, REC, TRUTH, SCORED, _IDF, """w AS (SELECT entity_id, token, count(*) AS tf, any_value(idf) AS idf FROM tk JOIN widf USING (token) GROUP BY 1, 2), s AS (SELECT entity_id, sqrt(sum(tf * idf * tf * idf)) AS norm, sum(idf) AS weight FROM w GROUP BY 1),
 p AS (SELECT source1_entity_id, candidate_entity_id FROM scored JOIN rec a ON a.entity_id = source1_entity_id JOIN rec b ON b.entity_id = candidate_entity_id WHERE a.name_norm IS NOT NULL AND b.name_norm IS NOT NULL),
 x AS (SELECT source1_entity_id, candidate_entity_id, sum(a.tf * a.idf * b.tf * b.idf) AS dot, sum(a.idf) AS shared FROM p JOIN w a ON a.entity_id = source1_entity_id JOIN w b ON b.entity_id = candidate_entity_id AND a.token = b.token GROUP BY 1, 2)""") + """
-SELECT p.source1_entity_id, p.candidate_entity_id, round(coalesce(least(dot / (a.norm * b.norm), 1.0), 0), 6) AS cosine, round(coalesce(shared, 0) / (a.weight + b.weight - coalesce(shared, 0)), 6) AS overlap
+SELECT p.source1_entity_id, p.candidate_entity_id, round(CASE WHEN dot IS NULL THEN 0.0 ELSE least(dot / (a.norm * b.norm), 1.0) END, 6) AS cosine, round(coalesce(shared, 0) / (a.weight + b.weight - coalesce(shared, 0)), 6) AS overlap
 FROM p LEFT JOIN x ON x.source1_entity_id = p.source1_entity_id AND x.candidate_entity_id = p.candidate_entity_id JOIN s a ON a.entity_id = p.source1_entity_id JOIN s b ON b.entity_id = p.candidate_entity_id""", "sim03_sim04_word_similarities")
 def sim03(spark, d):
     out = features.word_similarities(_joined(spark, d), features.word_idf(td.records(spark, d), "name_norm"), "name")
@@ -781,7 +781,7 @@ def _training(spark, d):
     joined = features.join_pairs(ranked, td.records(spark, d), check=False)
     made = features.FeatureExtractor().fit(td.records(spark, d)).transform(joined)
     out = made.join(ranked, PAIR).join(pairs.select(*PAIR, "label"), PAIR)
-    return out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF)
+    return out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF).persist()
 
 
 @query(None, "pip04_features")
@@ -792,13 +792,13 @@ def pip04(spark, d):
 @query(None, "ml03_ml06_matcher")
 def ml03(spark, d):
     ready = _training(spark, d)
-    fitted = model.train_matcher(ready, n_folds=3, trees=5)
+    fitted = model.train_matcher(ready, n_folds=2, trees=3)
     return fitted.predict(ready).select(*PAIR, "label", "probability")
 
 
 @query(None, "ml08_leave_one_country_out")
 def ml08(spark, d):
-    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India", n_folds=3, trees=5)[1]
+    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India", n_folds=2, trees=3)[1]
 
 
 # Programs

@@ -3,9 +3,28 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, once; they need no path to it of their own."""
+    key = spark.sparkContext.applicationId
+    if key in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="loomlink-"), "loomlink.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f"{home.name}/{f.relative_to(home)}")
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(key)
+
 
 def local_session(cpus: int | str | None = None, partitions: int = 8, **conf: str) -> SparkSession:
     """A local session with UTC time, adaptive plans and Arrow transfer."""
