@@ -39,7 +39,7 @@ LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes of text that are searched for anchors at once; longer texts are cut with an overlap.
-PIECE = 4 << 20
+PIECE = 1 << 20
 _PLACE = U64((1 << 24) - 1)
 MATCH = np.dtype([("at", "<i4"), ("left", "u1"), ("n", "u1"), ("hot", "u1")])
 RUN = np.dtype([("at", "<i4"), ("n", "<i4")])
