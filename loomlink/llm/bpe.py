@@ -22,14 +22,13 @@ from struct import pack
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlink.llm.common import documents
+from loomlink.llm.common import documents, slices
 
 DEFAULT = "byte_bpe_50k.json"
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -207,21 +206,6 @@ def lists(blobs: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
 
 
-def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about `most` bytes of text each, so that memory follows the longest text."""
-    at, used = 0, 0
-    sizes = batch.column(column)
-    lengths = pc.list_value_length(sizes) if isinstance(sizes, pa.ListArray) else pc.binary_length(sizes)
-    lengths = lengths.fill_null(0).to_numpy(zero_copy_only=False) * (4 if isinstance(sizes, pa.ListArray) else 1)
-    for k, n in enumerate(lengths):
-        used += int(n)
-        if used >= most:
-            yield batch.slice(at, k + 1 - at)
-            at, used = k + 1, 0
-    if at < batch.num_rows:
-        yield batch.slice(at)
-
-
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(id, ids): the token ids of each row's text."""
     path = path or default_path()

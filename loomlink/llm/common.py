@@ -5,8 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +74,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of each word, kept while there are under `most` of them."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
@@ -103,3 +106,18 @@ def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
     for k in range(w):
         x = (x ^ (x >> U64(29))) * _MUL + hashes[k : n - w + 1 + k]
     return np.unique(mix(x))
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about `most` bytes of text each, so that memory follows the longest text."""
+    at, used = 0, 0
+    sizes = batch.column(column)
+    lengths = pc.list_value_length(sizes) if isinstance(sizes, pa.ListArray) else pc.binary_length(sizes)
+    lengths = lengths.fill_null(0).to_numpy(zero_copy_only=False) * (4 if isinstance(sizes, pa.ListArray) else 1)
+    for k, n in enumerate(lengths):
+        used += int(n)
+        if used >= most:
+            yield batch.slice(at, k + 1 - at)
+            at, used = k + 1, 0
+    if at < batch.num_rows:
+        yield batch.slice(at)

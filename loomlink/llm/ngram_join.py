@@ -10,10 +10,10 @@ Sets are handled by size, with the boundary between light and heavy chosen by co
 
 Equal sets are one node. Lists are built in buckets of the shingles' hash range from compact blobs, one for each batch
 and bucket. Lists of up to `SHORT` members give all pairs. In a longer one, each member is compared with one pivot, the
-member with most of its shingles on long lists. Two members a, b that aren't both linked with their pivot p can only
-link if they differ from p alike: |a n b| = |p| - |p-a| - |p-b| + |(p-a) n (p-b)| + |(a-p) n (b-p)|. So they are put on
-lists again, of the rarest elements of these differences, fewer the larger the differences of both are; and so on,
-while lists are long. Pairs are verified on the whole sets, gathered by pivot in bins of bounded size. No list is cut
+member with most of its shingles on long lists. Two members a, b that aren't both linked with their pivot can only
+link if they differ alike from its frequent shingles, the core P. So they are put on lists again, of the rarest
+elements of these differences, fewer the larger the differences of both are. Members of lists that are long even then
+are compared in pairs of blocks of bounded size. Pairs are verified on the whole sets, gathered by pivot in bins of bounded size. No list is cut
 and no link is lost; groups of near copies never meet pair by pair.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing. Rows with equal
@@ -23,6 +23,7 @@ component. An empty table gives an empty one. Other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 from math import ceil, comb
@@ -30,23 +31,26 @@ from math import ceil, comb
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlink.llm.common import U64, WordHashes, documents, mix, partitions, shingles, stored, words_of
+from loomlink.llm.common import U64, WordHashes, documents, mix, partitions, shingles, slices, stored, words_of
 from loomlink.llm.components import components
 
 #: Links need PART * intersection >= WHOLE * union.
 PART, WHOLE = 100, 75
 WIDTH = 5
-#: Rows of the table of frequent shingles that is broadcast (8 bytes each), and rows that one batch may add to it.
-FREQUENT, FREQUENT_BATCH = 131_072, 4096
+#: Rows of the table of frequent shingles that is broadcast (16 bytes each), and rows that one batch may add to it.
+FREQUENT, FREQUENT_BATCH = 1_048_576, 65_536
+#: Bytes of text that are worked on at once.
+SLICE = 16 << 20
 #: Lists up to this length give all pairs.
-SHORT = 8
+SHORT = 32
 #: Entries of inverted lists in a bucket, and members in a bin of pairs to verify.
 BUCKET, BIN = 1_000_000, 256
-#: Rounds of lists of differences; the pairs of lists that are long even then are all verified.
-ROUNDS = 6
+#: Rounds of verification; members of lists that are long even then are compared in blocks.
+ROUNDS = 1
 #: Cost of verifying a candidate, in entries.
 VERIFY = 8
 LARGEST_LIGHT = 24
@@ -86,7 +90,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
             ids, n, keys, sets = batch.column(0), [], [], {}
             for text in batch.column(1).to_pylist():
                 x = shingles(hashes.of(words_of(text)), WIDTH)
@@ -109,12 +113,8 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "kind byte, doc_id long, n int, key long")
 
 
-def lists(docs: DataFrame, light: int, frequent: np.ndarray, n_buckets: int) -> DataFrame:
+def lists(docs: DataFrame, light: int, table: Broadcast, n_buckets: int) -> DataFrame:
     """(bucket, blob): list entries of the batch's distinct sets; a blob is counts, keys, members' places, nodes, sizes."""
-    order = np.argsort(frequent)
-    ranks = np.arange(len(frequent), dtype=np.int64)[order]  # rank 0: the most frequent
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast((frequent[order], ranks))
 
     def entries(x: np.ndarray) -> np.ndarray:
         s = len(x)
@@ -123,23 +123,13 @@ def lists(docs: DataFrame, light: int, frequent: np.ndarray, n_buckets: int) ->
             for c in subset_sizes(s):
                 out.append(np.array([xxhash.xxh3_64_intdigest(np.array(y, U64).tobytes(), c) for y in combinations(x.tolist(), c)], U64))
         if 4 * s > 3 * light:
-            values, ranks = table.value
-            p = prefix(s)
-            if len(values):
-                at = np.minimum(np.searchsorted(values, x), len(values) - 1)
-                common = values[at] == x
-                if common.any():
-                    rare = x[~common]
-                    if len(rare) < p:
-                        rest = x[common]
-                        rare = np.concatenate([rare, rest[np.argsort(-ranks[at[common]], kind="stable")]])
-                    x = rare
+            x, p = rarest_first(x, table.value)[0], prefix(s)
             out.append(mix(x[:p]))
         return np.concatenate(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE)):
             seen, nodes, sizes, keys = set(), [], [], []
             for text in batch.column(0).to_pylist():
                 x = shingles(hashes.of(words_of(text)), WIDTH)
@@ -174,35 +164,58 @@ def packed(keys: list[np.ndarray], nodes: list[int], sizes: list[int], n_buckets
     return pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())
 
 
-def differences(p: np.ndarray, a: np.ndarray, pivot: int) -> tuple[np.ndarray, bool]:
-    """Keys of a's lists under pivot p, and whether the two link.
+def rarest_first(x: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
+    """x in one order for all sets, frequent shingles last and the most frequent of them at the end; how many are not."""
+    values, ranks = table
+    if not len(values) or not len(x):
+        return x, len(x)
+    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+    common = values[at] == x
+    if not common.any():
+        return x, len(x)
+    rest = x[common]
+    rare = x[~common]
+    return np.concatenate([rare, rest[np.argsort(-ranks[at[common]], kind="stable")]]), len(rare)
+
+
+#: Classes of how far a set is from the core of its list, each STEP times the one before.
+STEP = 1.25
+_LEAST = [0, *(ceil(STEP**k) for k in range(80))]
 
-    Where a and b differ from p in x and y elements, they link only if T of these are the same, and T is at least what
-    is reckoned here from a's own numbers and the least that b's class of y (a power of two) adds. Elements outside p
-    come first, as they are rarer.
+
+def differences(core: np.ndarray, a: np.ndarray, pivot: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Keys of a's lists under a core P, the frequent shingles of its pivot.
+
+    |a n b| = |P| - |P-a| - |P-b| + |(P-a) n (P-b)| + |(a-P) n (b-P)|. So a and b link only if T elements of these
+    differences are the same, where 7 T >= 3 |a| - 4 |P| + 7 |P-a| + far(b), with far = 4 |P-b| + 3 |b-P|. Lists are
+    kept by the classes of both; for each class that b can have, a has its rarest differences, all but T - 1. Where T
+    may be 0, an element that all have is added.
     """
-    at = np.minimum(np.searchsorted(p, a), len(p) - 1)
-    inside = p[at] == a
-    common = int(inside.sum())
-    extra, lost = a[~inside], np.delete(p, at[inside])
-    linked = PART * common >= WHOLE * (len(a) + len(p) - common)
-    d = len(extra) + len(lost)
-    if not d:
-        return np.zeros(0, U64), linked
-    order = np.concatenate([extra, lost])
-    own, out = (d + 1).bit_length() - 1, []
-    n, m = len(a), len(p)
-    least_lost = max(0, -(-(WHOLE * m - PART * n) // WHOLE))
+    inside = np.zeros(len(a), bool)
+    if len(core):
+        at = np.minimum(np.searchsorted(core, a), len(core) - 1)
+        inside = core[at] == a
+        lost = np.delete(core, at[inside])
+    else:
+        lost = core
+    extra = a[~inside]
+    order = rarest_first(np.sort(np.concatenate([extra, lost])), table)[0]
+    d, n, m = len(order), len(a), len(core)
+    far = 4 * len(lost) + 3 * len(extra)
+    own = bisect_right(_LEAST, far) - 1
     seed = mix(np.array([pivot & ((1 << 64) - 1)], U64))
-    for k in range((2 * (n + m)).bit_length() + 1):
-        least, most = (1 << k) - 1, (1 << (k + 1)) - 2
-        add = 4 * least_lost + 3 * max(0, least - least_lost)
-        add = max(add, m + 1) if linked else add
-        t = max(1, -(-(3 * n - 4 * m + 7 * len(lost) + add) // 7))
-        if t <= min(d, most):
-            mark = U64(min(own, k) * 64 + max(own, k))
-            out.append(mix(order[: d - t + 1] ^ mix(seed + mark)))
-    return np.concatenate(out) if out else np.zeros(0, U64), linked
+    order, out = mix(order ^ seed), []
+    for k in range(len(_LEAST) - 1):
+        t = -(-(3 * n - 4 * m + 7 * len(lost) + _LEAST[k]) // 7)
+        if t > d:
+            break
+        if 3 * t >= _LEAST[k + 1]:
+            continue
+        mark = mix(seed + U64(100 * min(own, k) + max(own, k) + 1))
+        if t <= 0:
+            out.append(mark)
+        out.append(mix(order[: d - max(t, 1) + 1] ^ mark))
+    return np.concatenate(out) if out else np.zeros(0, U64)
 
 
 def unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,7 +266,16 @@ def candidates(listed: DataFrame) -> DataFrame:
     return listed.groupBy("bucket").applyInArrow(run, "kind byte, a long, b long, n int")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_buckets: int) -> DataFrame:
+def texts_of(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, text), stored: the only shuffle of all texts; later rounds need no other nodes.
+
+    Texts are met by sort-merge joins at any size, so that shuffles grow in proportion to the input.
+    """
+    asked = stored(nodes.distinct().join(reps, "node"), "asked")
+    return stored(docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id").select("node", "text"), "texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, table: Broadcast, n_buckets: int) -> DataFrame:
     """kind 0: links (u, v) that connect what pairs (a, b, star) link. kind 1: (bucket, blob) of the lists of differences
     from b, for pairs with star. Of the other pairs, those already connected in their bin are left out."""
     spark = pairs.sparkSession
@@ -266,7 +288,9 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_buckets: int)
     homes = stored(homes, "bins")
     others = homes.select(F.explode("with.b").alias("node"), "bin").distinct().select("node", "bin", F.lit(None).cast("array<struct<b:bigint,star:boolean>>").alias("with"))
     asked = stored(homes.select(F.col("a").alias("node"), "bin", "with").union(others), "asked")
-    placed = asked.join(reps, "node").join(docs.select("doc_id", "text"), "doc_id").select("bin", "node", "with", "text")
+    placed = asked.join(texts.hint("merge"), "node").select("bin", "node", "with", "text")
+
+    frequent = table
 
     def run(table: pa.Table) -> pa.Table:
         hashes, sets, wanted = WordHashes(), {}, []
@@ -284,24 +308,21 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n_buckets: int)
                 up[x] = x = up.get(y, y)
             return x
 
-        links, keys, nodes, sizes = [], [], [], []
+        links, keys, nodes, sizes, cores = [], [], [], [], {}
         for plain, a, b in sorted(wanted):
             x, y = sets.get(a), sets.get(b)
             if x is None or y is None:
                 continue
             i, j = top(a), top(b)
-            if plain:
-                if i == j:
-                    continue
-                if len(x) > len(y):
-                    x, y = y, x
-                if WHOLE * len(y) > PART * len(x):
-                    continue
-                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                linked = PART * common >= WHOLE * (len(x) + len(y) - common)
-            else:
-                own, linked = differences(y, x, b)
-                keys.append(own), nodes.append(a), sizes.append(-len(x) if linked else len(x))
+            if plain and i == j:
+                continue
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            linked = PART * common >= WHOLE * (len(x) + len(y) - common)
+            if not plain:
+                if b not in cores:
+                    ordered, rare = rarest_first(y, frequent.value)
+                    cores[b] = np.sort(ordered[rare:])
+                keys.append(differences(cores[b], x, b, frequent.value)), nodes.append(a), sizes.append(-len(x) if linked else len(x))
             if linked and i != j:
                 links.append((a, b))
                 up[i] = j
@@ -323,21 +344,51 @@ def stars(long: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
 
-def unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): the pairs of members of long lists that are in different components and whose sizes allow a link.
+def tiled(long: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v): the links between members of long lists that are in different components.
 
-    A component's members in a list are met by all others; where a list has a component with most members, only the
-    rest of them are listed against it.
+    Lists that share members are one family, whose members are dealt by hash into blocks of about BIN. Each pair of
+    blocks is compared in one task that gives links alone, so no pair is listed and each task's size is bounded.
     """
-    held = stored(long.join(found, "node", "left").select("list", "node", "n", F.coalesce("component", "node").alias("component")), "held")
-    open_ = stored(held.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("list"), "open")
-    held = stored(held.join(open_, "list"), "open_lists")
-    sizes = held.groupBy("list", "component").count()
-    main = stored(sizes.groupBy("list").agg(F.max_by("component", F.struct("count", "component")).alias("main")), "main")
-    rest = stored(held.join(main, "list").where("component <> main").select("list", F.col("node").alias("a"), F.col("n").alias("m"), F.col("component").alias("c"), "main"), "rest")
-    pairs = held.join(rest, "list").where("component <> c and (component = main or a < node)")
-    pairs = pairs.where(WHOLE * F.greatest("n", "m") <= PART * F.least("n", "m"))
-    return pairs.select(F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b")).distinct()
+    held = stored(long.join(parts, "node", "left").select("list", "node", F.coalesce("component", "node").alias("component")), "held")
+    open_ = stored(held.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("first")).where("x <> y").select("list", "first"), "open")
+    held = stored(held.join(open_, "list").select("node", "component", "first").distinct(), "open_members")
+    family = components(held.select(F.col("node").alias("u"), F.col("first").alias("v"))).select("node", F.col("component").alias("family"))
+    members = stored(held.select("node", "component").distinct().join(family, "node"), "members")
+    sizes = stored(members.groupBy("family").agg(F.ceil(F.count("*") / BIN).alias("blocks")), "families")
+    placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+    tile = met.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component").join(texts.hint("merge"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        hashes, sides, seen = WordHashes(), {}, set()
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        for node, part, block, text in zip(*(table.column(c).to_pylist() for c in ("node", "component", "block", "text")), strict=True):
+            x = shingles(hashes.of(words_of(text)), WIDTH)
+            if node not in seen and set_key(x) == node:
+                seen.add(node)
+                sides.setdefault(block, []).append((node, part, x))
+        left, right = sides.get(i, []), sides.get(j, [])
+        links = []
+        if left and right:
+            elements = np.concatenate([x for *_, x in right])
+            owners = np.repeat(np.arange(len(right)), [len(x) for *_, x in right])
+            order = np.argsort(elements, kind="stable")
+            elements, owners = elements[order], owners[order]
+            length = np.array([len(x) for *_, x in right])
+            of = np.array([p for _, p, _ in right])
+            for node, part, x in left:
+                a, b = np.searchsorted(elements, x, "left"), np.searchsorted(elements, x, "right")
+                n = b - a
+                at = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                common = np.bincount(owners[at], minlength=len(right))
+                near = np.flatnonzero((PART * common >= WHOLE * (len(x) + length - common)) & (of != part))
+                for q in {int(of[k]): k for k in near}.values():
+                    links.append((node, right[q][0]))
+        made = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table([pa.array(made[:, 0]), pa.array(made[:, 1])], ["u", "v"])
+
+    return tile.groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -349,30 +400,31 @@ def join(docs: DataFrame) -> DataFrame:
     sizes = reps.agg(F.sum(prefix_column("n")).alias("entries"), *(F.count_if(F.col("n") == s).alias(f"n{s}") for s in range(1, LARGEST_LIGHT + 1))).first()
     light = boundary({s: sizes[f"n{s}"] for s in range(1, LARGEST_LIGHT + 1)})
     top = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT)
-    frequent = np.array([r["key"] for r in top.select("key").collect()], np.int64).view(U64)  # at most FREQUENT rows
+    frequent = top.select("key").toArrow().column(0).to_numpy().view(U64)  # at most FREQUENT rows
+    order = np.argsort(frequent)
+    table = spark.sparkContext.broadcast((frequent[order], order))  # rank 0: the most frequent
     n_buckets = max(2 * partitions(spark), ceil((sizes["entries"] or 0) / BUCKET))
     reps_only = reps.select("node", "doc_id")
-    found = stored(candidates(lists(docs.where("doc_id is not null"), light, frequent, n_buckets)), "candidates")
-    edges = parts = None
-    for k in range(ROUNDS):
+    found = stored(candidates(lists(docs.where("doc_id is not null"), light, table, n_buckets)), "candidates")
+    edges = parts = texts = None
+    for _ in range(ROUNDS):
         pairs = found.where("kind = 0").select("a", "b")
-        if parts is not None:
-            pairs = across(pairs, parts)
-        long = found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n")
-        todo = pairs.select("a", "b", F.lit(False).alias("star")).union(stars(long).select("a", "b", F.lit(True)))
+        pairs = pairs.distinct() if parts is None else across(pairs, parts)
+        todo = pairs.select("a", "b", F.lit(False).alias("star")).union(stars(long_lists(found)).select("a", "b", F.lit(True)))
         todo = stored(todo.groupBy("a", "b").agg(F.max("star").alias("star")), "pairs")
         if todo.isEmpty():
             break
-        done = stored(verified(todo, docs, reps_only, n_buckets), "verified")
+        texts = texts_of(todo.select(F.explode(F.array("a", "b")).alias("node")), docs, reps_only) if texts is None else texts
+        done = stored(verified(todo, texts, table, n_buckets), "verified")
         links = done.where("kind = 0").select("u", "v")
         edges = links if edges is None else edges.union(links)
         parts = stored(components(edges), "components")
         found = stored(candidates(done.where("kind = 1").select("bucket", "blob")), "candidates")
     else:
-        long = found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n")
-        more = across(found.where("kind = 0").select("a", "b"), parts).union(unsettled(long, parts)).distinct()
-        links = stored(verified(more.select("a", "b", F.lit(False).alias("star")), docs, reps_only, n_buckets), "verified").where("kind = 0")
-        parts = stored(components(edges.union(links.select("u", "v"))), "components")
+        rest = across(found.where("kind = 0").select("a", "b"), parts).select("a", "b", F.lit(False).alias("star"))
+        links = verified(stored(rest, "pairs"), texts, table, n_buckets).where("kind = 0").select("u", "v")
+        edges = stored(edges.union(links).union(tiled(long_lists(found), parts, texts)), "all_links")
+        parts = stored(components(edges), "components")
     if parts is None:
         parts = spark.createDataFrame([], "node long, component long")
     labelled = reps_only.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -383,6 +435,10 @@ def join(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def long_lists(found: DataFrame) -> DataFrame:
+    return found.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), "n")
+
+
 def across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs whose members are not in one component yet."""
     pairs = pairs.distinct()

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlink.llm import bpe
-from loomlink.llm.common import documents, partitions, stored
+from loomlink.llm.common import documents, partitions, slices, stored
 
 CAPACITY = 1024
 END = 2
@@ -45,7 +45,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, end: int = END, path: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, tail = bpe.by_library(path), int(end).to_bytes(4, "little")
         for whole in batches:
-            for batch in bpe.slices(whole, 1, 4 << 20):
+            for batch in slices(whole, 1, 4 << 20):
                 ids, rows, blobs = batch.column(0), [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):
                     blob = machine.encode(text) + tail

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from loomlink.llm import bpe
-from loomlink.llm.common import documents
+from loomlink.llm.common import documents, slices
 
 NODES, WORDS = 500_000, 400_000
 
@@ -95,7 +95,7 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counts_of(path)
         for whole in batches:
-            for batch in bpe.slices(whole, 1, 4 << 20):
+            for batch in slices(whole, 1, 4 << 20):
                 rows = []
                 for text in batch.column(1).to_pylist():
                     words = pre_tokens(text or "")

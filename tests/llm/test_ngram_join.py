@@ -97,24 +97,25 @@ def test_whole_table_by_brute_force(spark, sf):
 
 
 def test_differences_lose_no_link():
-    rng = random.Random(11)
     import numpy as np
 
+    rng = random.Random(11)
     for _ in range(300):
-        base = rng.sample(range(10**6), rng.randrange(20, 120))
-        p = np.array(sorted(base), np.uint64)
+        base = rng.sample(range(10**6), rng.randrange(3, 120))
+        frequent = np.array(sorted({*rng.sample(base, len(base) // 2), *range(20)}), np.uint64)
+        table = (frequent, np.arange(len(frequent)))
+        core = np.array(sorted(rng.sample(base, rng.randrange(len(base) + 1))), np.uint64)
         kin = []
         for _ in range(6):
             keep = [x for x in base if rng.random() > rng.choice([0.05, 0.2, 0.4])]
             kin.append(sorted({*keep, *rng.sample(range(40) if rng.random() < 0.5 else range(10**6), rng.randrange(25))}))
         sets = [np.array(x, np.uint64) for x in kin if x]
-        made = [nj.differences(p, x, 77) for x in sets]
+        made = [nj.differences(core, x, 77, table) for x in sets]
         for i in range(len(sets)):
             for j in range(i):
                 both = len(np.intersect1d(sets[i], sets[j]))
-                link = 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
-                if link and not (made[i][1] and made[j][1]):
-                    assert len(np.intersect1d(made[i][0], made[j][0]))
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    assert len(np.intersect1d(made[i], made[j]))
 
 
 def test_many_rounds(spark, monkeypatch):
@@ -128,3 +129,26 @@ def test_many_rounds(spark, monkeypatch):
     same(spark, rows)
     monkeypatch.setattr(nj, "ROUNDS", 1)
     same(spark, rows)
+
+
+@pytest.mark.parametrize("edges", [10**6, 40])
+def test_components_against_union_find(spark, monkeypatch, edges):
+    from loomlink.llm import components as cc
+
+    monkeypatch.setattr(cc, "EDGES", edges)
+    rng = random.Random(2)
+    rows = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(k, k + 1) for k in range(1000, 1050)] + [(2000, k) for k in range(2001, 2060)]
+    up = {}
+
+    def top(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in rows:
+        i, j = top(a), top(b)
+        if i != j:
+            up[max(i, j)] = min(i, j)
+    got = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(rows, "u long, v long")).collect()}
+    assert got == {x: top(x) for e in rows if e[0] != e[1] for x in e}
+    assert cc.components(spark.createDataFrame([], "u long, v long")).count() == 0
