@@ -52,30 +52,32 @@ def training_corpus(records: DataFrame, refs: DataFrame, links: DataFrame) -> Da
 def word_similarities(joined: DataFrame, idf: DataFrame, field: str) -> DataFrame:
     """(ref, cand, cosine, overlap) of the pairs whose two texts are there; words without idf weigh nothing.
 
-    Vectors are made for distinct texts once, and pairs of texts are compared once.
+    Each distinct text's words, weights and length are made once, as a map of the few words it has; a pair then needs two
+    joins and no rows for its words.
     """
     a, b = F.col(f"source1_{field}"), F.col(f"candidate_{field}")
     there = joined.where(a.isNotNull() & (a != "") & b.isNotNull() & (b != "")).select(*PAIR, a.alias("x"), b.alias("y"))
-    met = there.select("x", "y").distinct()
-    texts = met.select(F.col("x").alias("t")).union(met.select("y")).distinct()
+    texts = there.select(F.explode(F.array("x", "y")).alias("t")).distinct()
     tf = texts.select("t", F.explode(words(F.col("t"))).alias("token")).groupBy("t", "token").agg(F.count("*").alias("tf"))
     w = tf.join(idf, "token").select("t", "token", "idf", (F.col("tf") * F.col("idf")).alias("w"))
-    sums = w.groupBy("t").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("idf").alias("weight"))
-    left = met.join(w.select(F.col("t").alias("x"), "token", F.col("w").alias("wx"), "idf"), "x")
-    both = left.join(w.select(F.col("t").alias("y"), "token", F.col("w").alias("wy")), ["y", "token"])
-    dots = both.groupBy("x", "y").agg(F.sum(F.col("wx") * F.col("wy")).alias("dot"), F.sum("idf").alias("shared"))
-    one = lambda k: sums.select(F.col("t").alias(k), F.col("norm").alias(f"n{k}"), F.col("weight").alias(f"s{k}"))
-    made = met.join(dots, ["x", "y"], "left").join(one("x"), "x", "left").join(one("y"), "y", "left")
-    zero = F.lit(0.0)
-    scale = F.coalesce(F.col("nx") * F.col("ny"), zero)
-    whole = F.coalesce("sx", zero) + F.coalesce("sy", zero) - F.coalesce("shared", zero)
-    made = made.select(
-        "x",
-        "y",
-        F.when(scale > 0, F.least(F.greatest(F.coalesce("dot", zero) / scale, zero), F.lit(1.0))).otherwise(0.0).alias("cosine"),
-        F.when(whole > 0, F.coalesce("shared", zero) / whole).otherwise(0.0).alias("overlap"),
+    made = w.groupBy("t").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", F.struct("w", "idf")))).alias("m"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"),
+        F.sum("idf").alias("s"),
+    )
+    one = lambda k: made.select(F.col("t").alias(k), *[F.col(c).alias(c + k) for c in "mns"])
+    both = there.join(one("x"), "x", "left").join(one("y"), "y", "left")
+    none, zero = F.array().cast("array<string>"), F.lit(0.0)
+    common = F.array_intersect(F.coalesce(F.map_keys("mx"), none), F.coalesce(F.map_keys("my"), none))
+    dot = F.aggregate(common, zero, lambda t, k: t + F.col("mx")[k]["w"] * F.col("my")[k]["w"])
+    shared = F.aggregate(common, zero, lambda t, k: t + F.col("mx")[k]["idf"])
+    both = both.select(*PAIR, dot.alias("dot"), shared.alias("shared"), F.coalesce(F.col("nx") * F.col("ny"), zero).alias("scale"), (F.coalesce("sx", zero) + F.coalesce("sy", zero)).alias("sum"))
+    whole = F.col("sum") - F.col("shared")
+    return both.select(
+        *PAIR,
+        F.when(F.col("scale") > 0, F.least(F.greatest(F.col("dot") / F.col("scale"), zero), F.lit(1.0))).otherwise(0.0).alias("cosine"),
+        F.when(whole > 0, F.col("shared") / whole).otherwise(0.0).alias("overlap"),
     )
-    return there.join(made, ["x", "y"]).select(*PAIR, "cosine", "overlap")
 
 
 class FeatureExtractor:
