@@ -192,7 +192,7 @@ def by_library(path: str) -> Automaton:
     machine = Automaton(path)
     ranks = dict(zip(map(machine.labels.__getitem__, machine.ids.values()), machine.ids.values(), strict=True))
     merges = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    machine.words = Words(merges.encode_ordinary, 1_000_000)
+    machine.words = Words(merges.encode_ordinary, 500_000)
     return machine
 
 

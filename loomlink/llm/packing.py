@@ -57,6 +57,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, end: int = END, path: str |
                 made = np.array(rows, np.int64).reshape(-1, 5)
                 out = [ids.take(pa.array(made[:, 0])), pa.array(made[:, 1].astype(np.int32)), *(pa.array(made[:, k]) for k in (2, 3, 4))]
                 yield pa.RecordBatch.from_arrays(out + ([bpe.lists(blobs)] if keep_ids else []), names)
+        machine.words.clear()  # the worker lives on, and other operators need its memory
 
     fields = [df.schema["doc_id"], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else []
