@@ -155,12 +155,12 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, longest, turn = seeds.value
-        best: dict[bytes, Best] = {}
+        best: dict[tuple[bytes, bytes], Best] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                key = row["q_vectors"]
+                key = row["q_ids"], row["q_vectors"]
                 if key not in best:
-                    best[key] = Best(np.frombuffer(row["q_ids"], np.int64), np.frombuffer(key).reshape(-1, dim), turn, k, (first, longest))
+                    best[key] = Best(np.frombuffer(key[0], np.int64), np.frombuffer(key[1]).reshape(-1, dim), turn, k, (first, longest))
                 best[key].scan(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["norms"]), np.frombuffer(row["vectors"]).reshape(-1, dim))
         rows = [(int(b.ids[q]), n, i, -s) for n, b in enumerate(best.values()) for q in range(len(b.ids)) for s, i in b.found[q]]
         marks = [hash_(b.queries[q]) for b in best.values() for q in range(len(b.ids)) for _ in b.found[q]]

@@ -100,5 +100,18 @@ def test_top_k_against_brute_force(spark, monkeypatch, dim, n, seeds):
     assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
 
 
+def test_top_k_of_many_queries_with_one_vector(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rng = random.Random(3)
+    rows = [(k, [1.0, 2.0, 3.0] if k % 2 == 0 else [rng.gauss(0, 1) for _ in range(3)]) for k in range(200)]
+    ints = {k: [math.floor(1024 * x) for x in v] for k, v in rows}
+    want = []
+    for q in range(0, 200, 2):
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v)), k) for k, v in ints.items() if k != q)[:10]
+        want += [(q, r + 1, k, -s) for r, (s, k) in enumerate(best)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df, every=2).collect())) == sorted(want)
+
+
 def test_top_k_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
