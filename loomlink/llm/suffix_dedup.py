@@ -183,9 +183,10 @@ def matches(found: DataFrame, hot: int) -> DataFrame:
         out = [[], [], [], []]
         if parts:
             h, at, left, count, ids, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((ids, keys, at, h))
+            order = np.lexsort((ids, keys, left, at, h))
             h, at, left, count, ids, keys = (x[order] for x in (h, at, left, count, ids, keys))
-            copy = np.r_[False, (h[1:] == h[:-1]) & (at[1:] == at[:-1]) & (keys[1:] == keys[:-1])]
+            # A run that a piece's end cuts has one anchor in both parts; only left tells them apart.
+            copy = np.r_[False, (h[1:] == h[:-1]) & (at[1:] == at[:-1]) & (left[1:] == left[:-1]) & (keys[1:] == keys[:-1])]
             h, at, left, count, ids, keys = (x[~copy] for x in (h, at, left, count, ids, keys))
             starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             times = np.repeat(np.diff(np.r_[starts, len(h)]), np.diff(np.r_[starts, len(h)]))

@@ -76,6 +76,16 @@ def test_segments_cover_each_string_once():
     assert all(0 <= a - i <= 100 - sd.GRAM for (t, a, o, n) in zip(text, at, left, count) for i in (a - o, a - o + n - 1))
 
 
+def test_passages_at_the_end_of_a_piece(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    first, second = word(160), word(160)
+    rows = [(0, word(sd.PIECE) + first + word(300)), (1, word(50) + first), (2, second + word(50)), (3, word(sd.PIECE) + second + word(300))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(sd.dedup(df))
+    assert got == brute(rows) and got[1][1] >= 160 and got[3][1] >= 160
+
+
 def test_multikey_quicksort():
     rng = random.Random(1)
     rows = [bytes(rng.choices(b"ab", k=32)) if rng.random() < 0.7 else b"a" * 32 for _ in range(500)]
