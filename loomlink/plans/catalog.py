@@ -792,13 +792,13 @@ def pip04(spark, d):
 @query(None, "ml03_ml06_matcher")
 def ml03(spark, d):
     ready = _training(spark, d)
-    fitted = model.train_matcher(ready, n_folds=2, trees=3)
+    fitted = model.train_matcher(ready)
     return fitted.predict(ready).select(*PAIR, "label", "probability")
 
 
 @query(None, "ml08_leave_one_country_out")
 def ml08(spark, d):
-    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India", n_folds=2, trees=3)[1]
+    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India")[1]
 
 
 # Programs

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loomlink.functions import similarity as sim
 from loomlink.functions import text as tx
 from loomlink.operators import checks, decision, evaluate, features, model
-from loomlink.plans import linkage
+from loomlink.plans import catalog, linkage
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import config, io
 
@@ -197,6 +197,23 @@ def test_matcher(spark, tmp_path):
         model.train_matcher(df.where("label = 0"), n_folds=2, trees=2)
 
 
+@pytest.mark.parametrize("name", ["ml03_ml06_matcher", "ml08_leave_one_country_out"])
+def test_matcher_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
+    asked, made = [], model.GBTClassifier
+
+    def recorded(**options):
+        asked.append((options["maxIter"], options["stepSize"]))
+        return made(**options | {"maxIter": 1})
+
+    rows = [(f"S1-{r}", f"S2-{c}", int(c == 0), "US" if r % 2 else "India", *(float(c == 0) for _ in SCORED_FEATURES)) for r in range(120) for c in range(4)]
+    df = pairs(spark, rows, "label int, source1_country string, " + ", ".join(f"{k} double" for k in SCORED_FEATURES))
+    monkeypatch.setattr(model, "GBTClassifier", recorded)
+    monkeypatch.setattr(catalog, "_training", lambda *_: df)
+    monkeypatch.setattr(catalog, "_lists", lambda *_: spark.createDataFrame([(f"S1-{r}", ["S2-0"]) for r in range(120)], "ref string, ids array<string>"))
+    assert catalog.queries()[name](spark, "").count() > 0
+    assert asked == [(400, 0.05)] * 5
+
+
 def test_programs(spark, tmp_path):
     raw = [(f"S{s}-{k}", f"{w} shop number{k} Ltd", f"{k} main road" if k % 5 else "", "US") for k, w in enumerate(["red", "blue", "green", "old", "new", "tall"] * 4) for s in (1, 2, 3)]
     (tmp_path / "raw.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join("\t".join(r) + "\n" for r in raw))
