@@ -14,6 +14,7 @@ from loomlink.operators import audit, blocking, checks, decision, evaluate, feat
 from loomlink.plans import linkage, oracle
 from loomlink.plans.oracle import DEC, GRAMS, PER, RANKED, RAW, REC, SCORED, STEPS, TRUTH, WORDS, f_beta, with_
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
+from loomlink.session import checkpoint
 from loomlink.sources import io
 from loomlink.sources import testdata as td
 
@@ -774,19 +775,32 @@ def ml02(spark, d):
     return blocking.similar_vectors(_table(spark, d, "embeddings"))
 
 
+def _candidates(spark, d):
+    """Exact Top-50 of every reference over the whole tables, with retrieval features and labels from all links."""
+    found = checkpoint(blocking.retrieve_candidates(_s1(spark, d), _pool(spark, d), 50, digits=6).select(*PAIR, "score"))
+    ranked = features.add_retrieval_features(found, check=False)
+    return ranked.join(td.links(spark, d).withColumn("label", F.lit(1)), PAIR, "left").withColumn("label", F.coalesce("label", F.lit(0)))
+
+
 def _training(spark, d):
     """Features of pairs from the records themselves, with labels and the reference's country."""
-    pairs = td.scored(spark, d)
-    ranked = _ranked(spark, d)
-    joined = features.join_pairs(ranked, td.records(spark, d), check=False)
+    pairs = _candidates(spark, d)
+    joined = features.join_pairs(pairs.drop("label"), td.records(spark, d), check=False)
     made = features.FeatureExtractor().fit(td.records(spark, d)).transform(joined)
-    out = made.join(ranked, PAIR).join(pairs.select(*PAIR, "label"), PAIR)
-    return out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF).persist()
+    out = made.join(pairs, PAIR)
+    return checkpoint(out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF))
+
+
+def _all_lists(spark, d):
+    """(ref, ids): all links of every reference."""
+    own = td.links(spark, d).groupBy(F.col(REF).alias("ref")).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
+    return _refs(spark, d).select(F.col(REF).alias("ref")).join(own, "ref", "left").select("ref", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
 
 
 @query(None, "pip04_features")
 def pip04(spark, d):
-    return features.FeatureExtractor().fit(td.records(spark, d)).transform(_joined(spark, d))
+    joined = features.join_pairs(_candidates(spark, d).select(*PAIR), td.records(spark, d), check=False)
+    return features.FeatureExtractor().fit(td.records(spark, d)).transform(joined)
 
 
 @query(None, "ml03_ml06_matcher")
@@ -798,7 +812,7 @@ def ml03(spark, d):
 
 @query(None, "ml08_leave_one_country_out")
 def ml08(spark, d):
-    return model.leave_one_country_out(_training(spark, d), _lists(spark, d), "US", "India")[1]
+    return model.leave_one_country_out(_training(spark, d), _all_lists(spark, d), "US", "India")[1]
 
 
 # Programs

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -43,3 +43,11 @@ def local_session(cpus: int | str | None = None, partitions: int = 8, **conf: st
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder, so that plans on it are short; a temporary folder is taken where none is set."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomlink-"))
+    return df.checkpoint()

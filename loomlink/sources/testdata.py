@@ -32,13 +32,25 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", "src", "entity_id", name.alias("name_norm"), suffix.alias("legal_suffix"), tx.normalize_text(F.col("business_address")).alias("address_norm"), "country")
 
 
-def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source1_entity_id, matched_entity_ids): records of one key belong to its first S1 record, eleven at most."""
+def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records with their key, and the first S1 record (ref) of each key."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words = F.split(tx.normalize_text(F.col("text")), " ")
     keys = docs.select("doc_id", F.array_join(F.slice(words, 1, 8), " ").alias("key"))
     base = raw(spark, sf_dir).select("doc_id", "src", "entity_id").join(keys, "doc_id")
     owners = base.where("src = 1 and key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "entity_id"))["entity_id"].alias("ref"))
+    return base, owners
+
+
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (source1_entity_id, candidate_entity_id): each key's first S1 record with all other records of the key."""
+    base, owners = _keyed(spark, sf_dir)
+    return owners.join(base.where("src > 1"), "key").select(F.col("ref").alias("source1_entity_id"), F.col("entity_id").alias("candidate_entity_id")).distinct()
+
+
+def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source1_entity_id, matched_entity_ids): records of one key belong to its first S1 record, eleven at most."""
+    base, owners = _keyed(spark, sf_dir)
     targets = base.where("src > 1").groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("doc_id", "entity_id"))), 1, 11).alias("t"))
     lists = owners.join(targets, "key").select("ref", F.array_join(F.col("t.entity_id"), ",").alias("ids"))
     refs = base.where("src = 1").select(F.col("entity_id").alias("ref"))

@@ -11,7 +11,7 @@ from loomlink.functions import text as tx
 from loomlink.operators import checks, decision, evaluate, features, model
 from loomlink.plans import catalog, linkage
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
-from loomlink.sources import config, io
+from loomlink.sources import config, io, testdata
 
 
 def pairs(spark, rows, more="score double"):
@@ -209,11 +209,23 @@ def test_matcher_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
     df = pairs(spark, rows, "label int, source1_country string, " + ", ".join(f"{k} double" for k in SCORED_FEATURES))
     monkeypatch.setattr(model, "GBTClassifier", recorded)
     monkeypatch.setattr(catalog, "_training", lambda *_: df)
-    monkeypatch.setattr(catalog, "_lists", lambda *_: spark.createDataFrame([(f"S1-{r}", ["S2-0"]) for r in range(120)], "ref string, ids array<string>"))
+    monkeypatch.setattr(catalog, "_all_lists", lambda *_: spark.createDataFrame([(f"S1-{r}", ["S2-0"]) for r in range(120)], "ref string, ids array<string>"))
     assert catalog.queries()[name](spark, "").count() > 0
     assert asked == [(400, 0.05)] * 5
 
 
+def test_training_pairs_are_blockings_with_labels_of_all_links(spark, tmp_path):
+    same = "blue harbour trading and shipping company of london"
+    rows = [(k, f"{same} x{k}" if k % 60 == 0 or 200 <= k < 220 else f"n{k} a{k * 7} b{k * 11} c{k * 13} d{k} e{k} f{k} g{k}", "en", f"src{k % 3}") for k in range(240)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    links = {tuple(r) for r in testdata.links(spark, str(tmp_path)).collect()}
+    want = {("S1-0", f"S{k % 3 + 1}-{k}") for k, text, *_ in rows if text.startswith(same) and k % 3}
+    assert links == want and len(links) > 11
+    got = {(r[REF], r[CAND]): r["label"] for r in catalog._training(spark, str(tmp_path)).collect()}
+    assert set(got) == {(r[REF], r[CAND]) for r in catalog.queries()["pip02_top_candidates"](spark, str(tmp_path)).collect()}
+    assert {p for p, y in got.items() if y} == links
+
+
 def test_programs(spark, tmp_path):
     raw = [(f"S{s}-{k}", f"{w} shop number{k} Ltd", f"{k} main road" if k % 5 else "", "US") for k, w in enumerate(["red", "blue", "green", "old", "new", "tall"] * 4) for s in (1, 2, 3)]
     (tmp_path / "raw.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join("\t".join(r) + "\n" for r in raw))
