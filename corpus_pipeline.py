@@ -1,7 +1,8 @@
 """A corpus from raw documents to packed training sequences, in five stages that each write and read Parquet.
 
 1. quality_rules: documents that the rules reject go.
-2. ngram_jaccard_join: of each group of near duplicates the document of the smallest doc_id stays.
+2. ngram_jaccard_join: of each group of near duplicates the document of the smallest doc_id stays. Rows of one doc_id
+   with different texts are documents of their own; rows of equal doc_id and text are one, and stay or go together.
 3. suffix_array_dedup: bytes of repeated strings go; a document goes that has none left.
 4. personal_data: spans of personal data are replaced by their kind.
 5. best_fit_packing: the texts become pieces placed in sequences.
@@ -31,10 +32,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    told = stored(ngram_join.join(docs).where("doc_id is not null"), "near")
-    gone = told.where("doc_id <> component_id").select("doc_id").distinct()
-    stay = told.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stored(gone.join(stay, "doc_id", "left_anti"), "gone"), "doc_id", "left_anti").select(*docs.columns)
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))  # tells apart texts of one doc_id
+    told = stored(ngram_join.join(docs.select(row.alias("doc_id"), "text")).where("doc_id is not null"), "near")
+    told = told.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    known = stored(docs.where("doc_id is not null").select("doc_id", row.alias("_row")).distinct().join(told, "_row"), "rows")
+    first = known.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("first"))
+    gone = stored(known.join(first, "component_id").where("_row <> first").select("_row"), "gone")
+    return docs.withColumn("_row", row).join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

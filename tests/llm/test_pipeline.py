@@ -70,6 +70,16 @@ def test_odd_rows_pass_every_stage(spark):
             assert name == "best_fit_packing" or out.columns == df.columns
 
 
+def test_near_duplicates_are_decided_by_row(spark):
+    text = lambda n: " ".join(f"{n}w{k}" for k in range(60))
+    rows = [(1, text("a")), (2, text("a") + " end"), (2, text("b")), (3, text("b") + " end"), (4, text("c")), (4, text("c")), (4, text("c") + " end"), (5, text("c")), (None, text("a"))]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    got = sorted(map(tuple, out.collect()), key=repr)
+    fours = [r for r in got if r[0] == 4]
+    assert [r for r in got if r[0] != 4] == [(1, text("a")), (2, text("b")), (None, text("a"))]
+    assert fours in ([(4, text("c"))] * 2, [(4, text("c") + " end")])
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, f"/root/testdata/{sf}")
