@@ -2,9 +2,9 @@
 
 Candidate spans come from broad patterns. Five labelers vote on each, for (+1), against (-1) or not at all (0): a strict
 pattern, a checksum, gazetteers (issuer prefixes, key prefixes, country codes, mail providers, given names), words in
-the context before it, and its shape. Expectation-maximisation over the counts of vote patterns estimates how reliable
-each labeler is for each class, without labels; its posteriors train a logistic classifier of spans on votes, kind and
-form. Spans that the base patterns find stay whatever it says; it decides on all others.
+the context before it, and its shape. For each kind, expectation-maximisation over the counts of vote patterns estimates
+how reliable each labeler is for each class, without labels; its posteriors train a logistic classifier of spans on
+votes, kind and form. Spans that the base patterns find stay whatever it says; it decides on all others.
 
 Only counts of vote patterns leave the tasks: at most kinds * 3^5 * forms rows, whatever the input. The texts are read
 twice, once for these counts and once for the spans.
@@ -31,11 +31,13 @@ from loomlink.llm.common import documents
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "iban", "ssn", "secret", "name"]
 Span = tuple[str, int, int]
-#: What P(-1), P(0), P(+1) are expected to be for false and true spans, and the weight of that against the counts:
-#: without it, the two classes that fit best may be two kinds instead of true and false.
-PRIOR, STRENGTH = np.array([[0.35, 0.6, 0.05], [0.05, 0.35, 0.6]]), 0.5
-#: Bounds of the share of true spans: spans with no vote for them are never taken.
-SHARE = (0.05, 0.8)
+#: What P(-1), P(0), P(+1) are expected to be for false and true spans, and how many spans of a class that counts for,
+#: whatever the number of spans: it settles which class is the true one and what is said of votes that nobody casts.
+PRIOR, STRENGTH = np.array([[0.35, 0.6, 0.05], [0.05, 0.35, 0.6]]), 20.0
+#: Bounds of the share of true spans.
+SHARE = (0.05, 0.95)
+#: Weight of the classifier's ridge against the mean loss of a span.
+RIDGE = 1e-4
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -47,7 +49,7 @@ _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_LOCAL_PHONE = re.compile(r"(?<![0-9+.)-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])")
+_LOCAL_PHONE = re.compile(r"(?<![0-9+.)-])(?:\+[0-9]{1,3}\x20)?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])")
 _NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20([A-Z][a-z]+(?:\x20[A-Z][a-z]+)?)")
 _TITLE = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\b")
 _HEX = re.compile(r"(?:[0-9a-f]{32,}|[0-9A-F]{32,})\Z")
@@ -186,7 +188,7 @@ def form(text: str, span: Span) -> tuple[int, int]:
 
 
 def reliabilities(counts: dict[tuple[int, ...], float], rounds: int = 100) -> tuple[float, np.ndarray, dict[tuple[int, ...], float]]:
-    """Dawid-Skene for two classes, with a prior: the share of true spans, P(vote | class) by labeler, and each pattern's posterior."""
+    """Dawid-Skene for two classes, with a prior of fixed weight: the share of true spans, P(vote | class) by labeler, and each pattern's posterior."""
     patterns = list(counts)
     x, n = np.array(patterns) + 1, np.array([counts[p] for p in patterns], float)
     post = 1 / (1 + np.exp(-1.5 * (x - 1).sum(1) + 0.75))
@@ -195,7 +197,7 @@ def reliabilities(counts: dict[tuple[int, ...], float], rounds: int = 100) -> tu
         table = np.empty((2, x.shape[1], 3))
         for c, w in enumerate((n * (1 - post), n * post)):
             for j in range(x.shape[1]):
-                table[c, j] = np.bincount(x[:, j], weights=w, minlength=3) + STRENGTH * n.sum() * PRIOR[c]
+                table[c, j] = np.bincount(x[:, j], weights=w, minlength=3) + STRENGTH * PRIOR[c]
             table[c] /= table[c].sum(1, keepdims=True)
         odds = np.log(share / (1 - share)) + sum(np.log(table[1, j, x[:, j]] / table[0, j, x[:, j]]) for j in range(x.shape[1]))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
@@ -219,21 +221,21 @@ def vector(kind: str, vote: tuple[int, ...], shape: tuple[int, int]) -> np.ndarr
 
 
 def fit(rows: list[tuple[str, tuple[int, ...], tuple[int, int], int]]) -> np.ndarray:
-    """Weights of the span classifier, from rows (kind, votes, form, count), by Newton's method with a ridge of one."""
+    """Weights of the span classifier, from rows (kind, votes, form, count), by Newton's method on the mean loss."""
     if not rows:
         return np.zeros(len(vector("email", (0,) * 5, (0, 0))))
-    counts: Counter = Counter()
-    for _, vote, _, n in rows:
-        counts[vote] += n
-    _, _, post = reliabilities(counts)
+    counts: dict[str, Counter] = {}
+    for kind, vote, _, n in rows:
+        counts.setdefault(kind, Counter())[vote] += n
+    post = {kind: reliabilities(own)[2] for kind, own in counts.items()}
     x = np.array([vector(k, v, f) for k, v, f, _ in rows])
-    y = np.array([post[v] for _, v, _, _ in rows])
+    y = np.array([post[k][v] for k, v, _, _ in rows])
     n = np.array([r[3] for r in rows], float)
-    n = n / n.sum() * min(n.sum(), 1e4)
+    n /= n.sum()
     w = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (n * (y - p)) - w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), x.T @ (n * (y - p)) - RIDGE * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -302,7 +304,9 @@ def redact(df: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
             texts = [masked(t, found(t, weights)[1]) if t else t for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return df.mapInArrow(run, df.schema)
+    plain = [f"c{k}" for k in range(len(df.columns))]  # as names may hold dots
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(plain, df.schema, strict=True)])
+    return df.toDF(*plain).mapInArrow(run, schema).toDF(*df.columns)
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,46 @@ def test_em_finds_the_reliable_labeler():
     assert post[(1, 1, 1, 1, 1)] > 0.95 > 0.05 > post[(-1, -1, -1, -1, -1)]
 
 
+@pytest.mark.parametrize("n", [2_000, 200_000])
+def test_em_is_not_held_back_by_its_prior(n):
+    import random
+
+    rng, counts = random.Random(2), {}
+    for _ in range(n):
+        y = rng.random() < 0.4
+        vote = tuple((1 if (rng.random() < q) == y else -1) for q in (0.9, 0.9, 0.9, 0.1, 0.9))
+        counts[vote] = counts.get(vote, 0) + 1
+    _, table, _ = pii.reliabilities(counts)
+    for j, right in enumerate((0.9, 0.9, 0.9, 0.1, 0.9)):
+        assert table[1, j, 2] == pytest.approx(right, abs=0.02 if n > 10_000 else 0.06)
+
+
+def test_weights_do_not_depend_on_the_size_of_the_input():
+    rows = [("secret", (1, 0, 0, 1, 1), (6, 2), 30), ("secret", (0, 0, 0, 0, -1), (5, 1), 70), ("phone", (1, 0, 1, 0, 0), (5, 3), 40), ("card", (1, -1, 0, 0, 0), (5, 4), 60), ("card", (1, 1, 1, 0, 0), (5, 4), 50)]
+    sign = lambda w: [bool(pii.vector(k, v, f) @ w > 0) for k, v, f, _ in rows]
+    few, many = pii.fit(rows), pii.fit([(*r[:3], 10_000 * r[3]) for r in rows])
+    assert sign(few) == sign(many) == [True, False, True, False, True]
+
+
+def test_spans_that_the_method_adds(spark, tmp_path):
+    """Decided by EM and classifier alone: quoted keys and a phone number that runs into other digits, not lone digits."""
+    texts = [f'word {k} token = "{hashlib.sha1(b"%d" % k).hexdigest()}" more' for k in range(60)]
+    texts += [f"call +1 (555) 010-{k:04d} 10.0.0.{k} now" for k in range(20)] + [f"call +1 (555) 010-{k:04d} now" for k in range(60)]
+    texts += [f"number {9807915762804490 + 7 * k} here" for k in range(60)] + [f"plain words {k}" for k in range(50)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r["spans"] for r in pii.op5_personal_data(spark, str(tmp_path)).collect()}
+    for k, t in enumerate(texts):
+        kinds = [s.split(":")[0] for s in out[k].split(",") if s]
+        if "token" in t:
+            assert "secret" in kinds, (t, kinds)
+        elif "+1" in t:
+            assert "phone" in kinds, (t, kinds)
+        elif "number" in t:
+            assert kinds == [s[0] for s in base(t)], (t, kinds)
+        else:
+            assert not kinds
+
+
 def test_query_and_redaction(spark, tmp_path):
     folder = "/root/testdata/sf0.01"
     df = spark.read.parquet(f"{folder}/documents.parquet")
