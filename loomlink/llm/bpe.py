@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack
@@ -31,6 +32,8 @@ from pyspark.sql import types as T
 from loomlink.llm.common import documents, slices
 
 DEFAULT = "byte_bpe_50k.json"
+#: Characters of a word that is remembered.
+LONG = 512
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The pre-tokenizer's pattern, with its white space spelled out.
 FULL = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
@@ -39,6 +42,14 @@ PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
+def vocabulary(path: str) -> dict[bytes, int]:
+    """Each entry's bytes with its id."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    letters = byte_letters()
+    return {bytes(letters[c] for c in token): k for token, k in vocab.items()}
+
+
 def byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write for bytes: printable ones for themselves, others from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,7 +76,6 @@ class Automaton:
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self._special = special
         self.ids = {self.labels[k]: k for k in vocab.values()}
-        self.longest = max(map(len, self.ids))
         self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
         self.taken: dict[tuple[int, int], int] = {}
         self._dead: set[int] = set()
@@ -75,6 +85,11 @@ class Automaton:
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
         for k in self._dead:
             self.ids.pop(self.labels[k], None)
+        lengths: dict[bytes, set[int]] = {}
+        for label in self.ids:
+            lengths.setdefault(label[:2], set()).add(len(label))
+        #: Lengths of the labels that begin with two bytes, from the longest down to 1.
+        self.lengths = {k: tuple(sorted(v | {1}, reverse=True)) for k, v in lengths.items()}
         self.words = Words(lambda w: self.word(w.encode("utf-8", "surrogatepass")), most_words)
 
     def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
@@ -118,32 +133,34 @@ class Automaton:
     def word(self, raw: bytes) -> list[int]:
         """Ids of one pre-split word: the one path that spells it.
 
-        Each prefix has one path at most, so a place is entered once; the longest arcs are tried first.
+        Each prefix has one path at most, so a place is entered once; the longest arcs are tried first. Time is linear in
+        the word's length and memory some tens of bytes for each of its bytes, however long it is.
         """
-        n, ids, arcs, size, longest = len(raw), self.ids, self._arcs, self.size, self.longest
+        n, ids, arcs, size, lengths = len(raw), self.ids, self._arcs, self.size, self.lengths
         whole = ids.get(raw)
         if whole is not None:
             return [whole]
-        last, back = {0: -1}, {}
-        open_ = [(0, n if n < longest else longest)]
+        last, back = array("i", [-1]) * (n + 1), array("i", [-1]) * (n + 1)
+        back[0] = 0
+        open_ = [(0, iter(lengths.get(raw[:2], (1,))))]
         while open_:
-            j, k = open_.pop()
+            j, rest = open_[-1]
             state = last[j]
-            while k > j:
-                if k not in last and (token := ids.get(raw[j:k])) is not None:
+            for length in rest:
+                k = j + length
+                if k <= n and back[k] < 0 and (token := ids.get(raw[j:k])) is not None:
                     if not j or (arcs[key] if (key := state * size + token) in arcs else self.arc(state, token)):
-                        last[k] = token
-                        back[k] = j
+                        last[k], back[k] = token, j
                         if k == n:
                             out = []
                             while k:
                                 out.append(last[k])
                                 k = back[k]
                             return out[::-1]
-                        open_.append((j, k - 1))
-                        open_.append((k, n if n < k + longest else k + longest))
+                        open_.append((k, iter(lengths.get(raw[k : k + 2], (1,)))))
                         break
-                k -= 1
+            else:
+                open_.pop()
         raise ValueError("the vocabulary lacks a byte")
 
     def encode(self, text: str | None) -> bytes:
@@ -175,7 +192,9 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        self[word] = found = pack("<%dI" % len(ids := self.spell(word)), *ids)
+        found = pack("<%dI" % len(ids := self.spell(word)), *ids)
+        if len(word) <= LONG:
+            self[word] = found
         return found
 
 

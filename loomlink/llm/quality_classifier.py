@@ -4,15 +4,18 @@ A text's features are indicators of hashed n-grams: its words and word pairs, th
 letters and digits as one sign, other signs as they are) singly, in pairs and threes, and how often a word equals the
 one before it. Each is scaled by the class log-count ratio of naive Bayes; a linear hinge-loss model is fitted on that
 by dual coordinate descent, pulled towards the mean weight as naive Bayes is, and its margins are made probabilities by
-a logistic curve fitted on a fifth of the sample that it hasn't seen.
+a logistic curve fitted on a fifth of the sample that neither the ratios nor the weights have seen.
 
-It is fitted on at most SAMPLE labelled texts (the least by a hash of the id), outside the held-out fold
-(crc32(doc_id) mod 5 = 0); only the weights, 2^BITS numbers, are broadcast. All texts are scored whole.
+It is fitted on at most SAMPLE labelled texts (the least by a hash of the id) outside the held-out fold
+(crc32(doc_id) mod 5 = 0), and on at most SAMPLE_FEATURES features: texts that would pass that, in the same order, are
+left out of the fit. Nothing else reaches the driver, and only the weights, 2^BITS numbers, are broadcast. All texts are
+scored whole.
 
 Defined results: null and empty texts have no features and the score of the intercept. Null labels are ignored; of
-several labels of an id the lowest counts. Without labels of both classes all scores are the share of label 1, or 0.5.
-A null doc_id is not held out. Repeated rows are scored each. Other columns are ignored; an empty table gives an empty
-one.
+several labels of an id the lowest counts, of several texts of an id the one of the least hash. Without labels of both
+classes all scores are the share of label 1, or 0.5. A null doc_id is not held out. Repeated rows are scored each. Texts
+and words of any length are taken whole, in time linear in them. Equal texts have equal scores. Other columns are
+ignored, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -24,14 +27,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlink.llm.common import U64, WordHashes, documents, mix
+from loomlink.llm.common import U64, WordHashes, documents, mix, stored
 
 BITS = 18
-#: The bound of the training sample.
-SAMPLE = 8192
+#: The bounds of the training sample: texts, and features of all of them (four bytes each).
+SAMPLE, SAMPLE_FEATURES = 8192, 1 << 25
 THRESHOLD = 0.3
 ALPHA, BETA, COST, EPOCHS = 1.0, 0.25, 1.0, 12
 _SHAPE = bytes(
@@ -50,7 +54,7 @@ class ShapeHashes(dict):
             if c != last or c not in b"aA0":
                 shape.append(c)
             last = c
-        self[word] = h = xxhash.xxh3_64_intdigest(bytes(shape[:12]), 1)
+        self[word] = h = xxhash.xxh3_64_intdigest(bytes(shape), 1)
         return h
 
 
@@ -128,16 +132,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     if len(set(y.tolist())) < 2:
         share = float(np.clip((y > 0).mean(), 0.01, 0.99)) if len(y) else 0.5
         return Model(np.zeros(n), 0.0, 0.0, float(np.log(share / (1 - share))))
-    counts = np.full((2, n), ALPHA)
-    for x, t in zip(rows, y, strict=True):
-        counts[int(t > 0), x] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    values = [ratio[x] / np.sqrt(max(len(x), 1)) for x in rows]
     held = np.arange(len(rows)) % 5 == 0
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
         held = np.zeros(len(rows), bool)
     train = np.flatnonzero(~held)
-    w, b = hinge_dual([rows[i] for i in train], [values[i] for i in train], y[train], n)
+    counts = np.full((2, n), ALPHA)
+    for i in train:
+        counts[int(y[i] > 0), rows[i]] += 1
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    values = [ratio[rows[i]] / np.sqrt(max(len(rows[i]), 1)) for i in train]
+    w, b = hinge_dual([rows[i] for i in train], values, y[train], n)
     mean = np.abs(w).sum() / n
     w = (1 - BETA) * w + BETA * mean
     model = Model(ratio * w, b, 1.0, 0.0)
@@ -151,17 +155,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labels (doc_id, quality) outside the held-out fold."""
     known = labels.where("quality is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    told = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most `sample` rows
+    told = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most `sample` rows are broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, shapes = WordHashes(), ShapeHashes()
         for batch in batches:
-            made = [features(t, hashes, shapes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(made, pa.binary())], ["doc_id", "quality", "ids"])
-
-    rows = told.mapInArrow(run, "doc_id long, quality int, ids binary").collect()
-    rows = sorted(((xxhash.xxh3_64_intdigest(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["ids"]), r["quality"]) for r in rows))[: 2 * sample]
-    return fit([np.frombuffer(r[2], np.int32) for r in rows], np.array([r[3] for r in rows]))
+            made = [features(t, hashes, shapes) for t in batch.column(1).to_pylist()]
+            keys = [xxhash.xxh3_64_intdigest(x) >> 1 for x in made]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(keys, pa.int64()), pa.array([x.tobytes() for x in made], pa.binary())], ["doc_id", "quality", "key", "ids"])
+
+    made = stored(told.mapInArrow(run, "doc_id long, quality int, key long, ids binary"), "features")
+    one = made.groupBy("doc_id", "quality").agg(F.min(F.struct("key", F.octet_length("ids").alias("n"))).alias("x")).select("doc_id", "quality", "x.key", F.col("x.n").alias("n"))
+    place = F.sum("n").over(W.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of at most `sample` rows
+    one = stored(one.withColumn("used", place).where(F.col("used") <= 4 * SAMPLE_FEATURES).select("doc_id", "key"), "sample")
+    rows = made.join(F.broadcast(one), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "quality", "ids").collect()
+    rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r["doc_id"]).encode()), r["doc_id"]))
+    return fit([np.frombuffer(r["ids"], np.int32) for r in rows], np.array([r["quality"] for r in rows]))
 
 
 def held_out(c):

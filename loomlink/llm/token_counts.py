@@ -1,68 +1,157 @@
 """Token counts under a unigram model, by dynamic programming shared over a trie.
 
-Texts are split into pre-tokens as the byte-level tokenizer does. The model's pieces are the vocabulary's labels, with
-scores by rank (integers, -2^16 ln(id + 1), so that sums are exact); a pre-token's tokens are its cut into pieces of the
-highest total score, fewest pieces first among equals. Distinct pre-tokens are put into a trie: the forward score of
-a node, the best total for its prefix, is reckoned once from its ancestors', however many pre-tokens share the prefix,
-and terminal nodes give the counts. The trie and the counts are dropped and begun anew past a fixed number of nodes.
-
-Defined results: null and empty texts have no tokens. Repeated rows are counted each. An empty table gives an empty
-one. Other columns are ignored. Texts of any length are taken whole.
+Texts are split into pre-tokens as the byte-level tokenizer does. The model's pieces are the labels of a vocabulary file;
+their probabilities are estimated by expectation-maximisation over the distinct pre-tokens of all texts and how often
+they occur: ROUNDS times, each pre-token is cut into its best pieces, and the pieces' counts (one number for each piece
+of the vocabulary, with SMOOTH added) give the next scores. The first scores go by rank. Scores are integers, 2^16 times
+the logarithm, so that sums are exact and no order of rows matters. A pre-token's tokens are its cut into pieces of the
+highest total score, fewest pieces first among equals.
+
+Distinct pre-tokens are put into a trie: the forward score of a node, the best total for its prefix, is reckoned once
+from its ancestors', however many pre-tokens share the prefix, and terminal nodes give the counts. Which pieces end at a
+place is told by an Aho-Corasick automaton over all pieces. The trie is dropped and begun anew past NODES nodes.
+Pre-tokens over LONG bytes are no part of it: their scores are reckoned along the way and only the last few kept.
+
+Defined results: null and empty texts have no tokens. Repeated rows are counted each, and weigh so in the estimate. An
+empty table gives an empty one. Other columns are ignored, whatever their names. Texts and pre-tokens of any length are
+taken whole, in time linear in them. Of cuts with equal scores and as many pieces, the one of the longest last piece
+counts in the estimate.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from math import log
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlink.llm import bpe
-from loomlink.llm.common import documents, slices
+from loomlink.llm.common import documents, slices, stored
 
 NODES, WORDS = 500_000, 400_000
+#: Bytes of a pre-token that goes into the trie.
+LONG = 512
+#: Rounds of the estimate, and what is added to each piece's count.
+ROUNDS, SMOOTH = 2, 1.0
+#: Distinct pre-tokens that a task counts before it passes them on.
+KNOWN = 200_000
+
+
+def matcher(pieces: list[bytes]) -> ahocorasick.Automaton:
+    """Tells for each place of a string the pieces that end there, as (number, length)."""
+    found = ahocorasick.Automaton()
+    for k, piece in enumerate(pieces):
+        if piece:
+            found.add_word(piece.decode("latin-1"), (k, len(piece)))
+    found.make_automaton()
+    return found
 
 
 class Trie:
     """Forward scores of the prefixes seen so far, under pieces with scores."""
 
-    def __init__(self, pieces: dict[bytes, int]):
-        self.pieces, self.longest = pieces, max(map(len, pieces))
+    def __init__(self, pieces: list[bytes], scores: list[int], ends: ahocorasick.Automaton | None = None):
+        self.scores, self.longest = scores, max(map(len, pieces))
+        self.ends = ends or matcher(pieces)
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
-        self.score, self.count = [0], [0]
+        self.score, self.count, self.last, self.above = [0], [0], [(-1, 0)], [-1]
 
-    def tokens(self, raw: bytes) -> int:
-        """The number of pieces of the best cut of raw."""
+    def node(self, raw: bytes) -> int:
+        """The node of raw, put in if it is new."""
         if len(self.score) > NODES:
             self.clear()
-        child, score, count, pieces, longest = self.child, self.score, self.count, self.pieces, self.longest
+        child, score, count = self.child, self.score, self.count
         node, path = 0, [0]
-        for d, byte in enumerate(raw, 1):
-            key = node << 8 | byte
-            node = child.get(key, -1)
-            if node < 0:
-                best, fewest = None, 0
-                for j in range(max(0, d - longest), d):
-                    own = pieces.get(raw[j:d])
-                    if own is not None:
-                        total, n = score[path[j]] + own, count[path[j]] + 1
-                        if best is None or total > best or total == best and n < fewest:
-                            best, fewest = total, n
-                child[key] = node = len(score)
-                score.append(best)
-                count.append(fewest)
+        for byte in raw:
+            if (node := child.get(node << 8 | byte, -1)) < 0:
+                break
             path.append(node)
-        return count[node]
+        known = len(path) - 1
+        if known == len(raw):
+            return node
+        at, best, fewest, how = known + 1, None, 0, (-1, 0)
+
+        def put() -> None:
+            if best is None:
+                raise ValueError("the vocabulary lacks a byte")
+            child[path[-1] << 8 | raw[at - 1]] = new = len(score)
+            self.above.append(path[-1])
+            path.append(new)
+            score.append(best), count.append(fewest), self.last.append(how)
+
+        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):
+            if end < known:
+                continue
+            if end >= at:
+                put()
+                at, best = end + 1, None
+            start = path[end + 1 - n]
+            total, pieces = score[start] + self.scores[k], count[start] + 1
+            if best is None or total > best or total == best and (pieces, -n) < (fewest, -how[1]):
+                best, fewest, how = total, pieces, (k, n)
+        put()
+        if len(path) != len(raw) + 1:
+            raise ValueError("the vocabulary lacks a byte")
+        return path[-1]
+
+    def tokens(self, raw: bytes) -> int:
+        """The number of pieces of the best cut of raw."""
+        return self.count[self.node(raw)] if len(raw) <= LONG else self.along(raw)[0]
+
+    def cut(self, raw: bytes) -> Counter:
+        """How often each piece is in the best cut of raw."""
+        if len(raw) > LONG:
+            return self.along(raw, keep=True)[1]
+        node, used = self.node(raw), Counter()
+        while node:
+            k, n = self.last[node]
+            used[k] += 1
+            for _ in range(n):
+                node = self.above[node]
+        return used
+
+    def along(self, raw: bytes, keep: bool = False) -> tuple[int, Counter]:
+        """Pieces of a long string; with `keep`, also which (four bytes a byte), else only the last scores are held."""
+        size = self.longest + 1
+        score, count = [0] * size, [0] * size
+        lasts = np.zeros(len(raw) + 1 if keep else 0, np.int32)
+        lengths = np.zeros(len(raw) + 1 if keep else 0, np.uint16)
+        at, best, fewest, how = 1, None, 0, (-1, 0)
+        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):
+            if end >= at:
+                if best is None or end > at:
+                    raise ValueError("the vocabulary lacks a byte")
+                score[at % size], count[at % size] = best, fewest
+                if keep:
+                    lasts[at], lengths[at] = how
+                at, best = end + 1, None
+            start = (end + 1 - n) % size
+            total, pieces = score[start] + self.scores[k], count[start] + 1
+            if best is None or total > best or total == best and (pieces, -n) < (fewest, -how[1]):
+                best, fewest, how = total, pieces, (k, n)
+        if best is None or at != len(raw):
+            raise ValueError("the vocabulary lacks a byte")
+        used: Counter = Counter()
+        if keep:
+            lasts[at], lengths[at] = how
+            while at:
+                used[int(lasts[at])] += 1
+                at -= int(lengths[at])
+        return fewest, used
 
 
 class Counts(dict):
-    """Tokens of each pre-token."""
+    """Tokens of each pre-token; long ones are reckoned each time."""
 
     def __init__(self, trie: Trie):
         super().__init__()
@@ -71,29 +160,82 @@ class Counts(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > WORDS:
             self.clear()
-        self[word] = n = self.trie.tokens(word.encode("utf-8", "surrogatepass"))
+        n = self.trie.tokens(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= LONG:
+            self[word] = n
         return n
 
 
-def scores(path: str) -> dict[bytes, int]:
-    return {piece: -round(65536 * log(k + 1)) for piece, k in bpe.automaton(path).ids.items()}
+def vocabulary(path: str) -> list[bytes]:
+    """The vocabulary's pieces in order of rank."""
+    return [piece for piece, _ in sorted(bpe.vocabulary(path).items(), key=lambda x: x[1])]
+
+
+def first_scores(n: int) -> list[int]:
+    """Scores by rank, as word frequencies fall."""
+    return [-round(65536 * log(k + 2)) for k in range(n)]
 
 
-@lru_cache(2)
-def counts_of(path: str) -> Counts:
-    return Counts(Trie(scores(path)))
+def next_scores(used: dict[int, int], n: int) -> list[int]:
+    total = sum(used.values()) + SMOOTH * n
+    return [round(65536 * log((used.get(k, 0) + SMOOTH) / total)) for k in range(n)]
 
 
 def pre_tokens(text: str) -> list[str]:
     return (bpe.FAST if bpe.PLAIN.fullmatch(text) else bpe.FULL).findall(text)
 
 
-def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(id, n_pretokens, n_distinct, n_tokens) of each row's text."""
+def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n): the distinct pre-tokens of all texts as UTF-8, and how often they occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass") for w in seen], pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            seen.clear()
+            return rows
+
+        for whole in batches:
+            for batch in slices(whole, 0, 4 << 20):
+                for text in batch.column(0).to_pylist():
+                    seen.update(pre_tokens(text or ""))
+                if len(seen) > KNOWN:
+                    yield out()
+        yield out()
+
+    return df.select(text_col).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def estimate(df: DataFrame, text_col: str = "text", path: str | None = None, rounds: int = ROUNDS) -> list[int]:
+    """Scores of the vocabulary's pieces, by rank, from all texts of df."""
+    path = path or bpe.default_path()
+    spark = df.sparkSession
+    scores = first_scores(len(vocabulary(path)))
+    words = stored(word_counts(df, text_col), "words")
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(scores)  # one number for each piece
+
+        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            trie, used = Trie(vocabulary(path), shared.value), Counter()
+            for batch in batches:
+                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    for k, m in trie.cut(word).items():
+                        used[k] += n * m
+            yield pa.RecordBatch.from_arrays([pa.array(list(used), pa.int32()), pa.array(list(used.values()), pa.int64())], ["piece", "n"])
+
+        told = words.mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
+        scores = next_scores({r["piece"]: r["n"] for r in told}, len(scores))
+    return scores
+
+
+def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, scores: list[int] | None = None) -> DataFrame:
+    """(id, n_pretokens, n_distinct, n_tokens) of each row's text, under these scores or those that its texts give."""
     path = path or bpe.default_path()
+    shared = df.sparkSession.sparkContext.broadcast(scores or estimate(df, text_col, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = counts_of(path)
+        counts = Counts(Trie(vocabulary(path), shared.value))
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
                 rows = []

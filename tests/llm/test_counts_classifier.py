@@ -1,8 +1,11 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from loomlink.llm import bpe, token_counts
 from loomlink.llm import quality_classifier as qc
@@ -15,30 +18,153 @@ def best_cut(raw, pieces):
     return -best[-1][1]
 
 
-def test_counts_against_plain_viterbi(spark, tmp_path):
-    pieces = token_counts.scores(bpe.default_path())
-    texts = ["", None, "a", "Hello there, hello theres 123", "é日本 \U0001f600", "aaaaaaaaaaaaaaaaaaaaaaaab", " \n\n x", "the " * 50]
+def cuts(raw, pieces):
+    """Pieces of the best cut: highest score, fewest pieces, longest last piece."""
+    best = [(0, 0, 0)] + [None] * len(raw)
+    for d in range(1, len(raw) + 1):
+        best[d] = max(((best[j][0] + pieces[raw[j:d]], best[j][1] - 1, d - j) for j in range(d) if raw[j:d] in pieces), default=None)
+    out, d = [], len(raw)
+    while d:
+        out.append(raw[d - best[d][2] : d])
+        d -= best[d][2]
+    return out
+
+
+def test_counts_against_plain_viterbi_and_estimate(spark, tmp_path):
+    names = token_counts.vocabulary(bpe.default_path())
+    texts = ["", None, "a", "Hello there, hello theres 123", "é日本 \U0001f600", "aaaaaaaaaaaaaaaaaaaaaaaab", " \n\n x", "the " * 50, "z" * 700, "the " * 50]
     rng = random.Random(0)
     texts += ["".join(rng.choices("abcde fghi the ing", k=60)) for _ in range(60)]
     rows = [(k, t, 5) for k, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, n_tokens int").write.parquet(f"{tmp_path}/documents.parquet")
+    scores = token_counts.first_scores(len(names))
+    for _ in range(token_counts.ROUNDS):
+        used = Counter()
+        for t in texts:
+            for w in bpe.FULL.findall(t or ""):
+                used.update(cuts(w.encode(), dict(zip(names, scores))))
+        total = sum(used.values()) + token_counts.SMOOTH * len(names)
+        scores = [round(65536 * math.log((used[p] + token_counts.SMOOTH) / total)) for p in names]
+    assert token_counts.estimate(spark.read.parquet(f"{tmp_path}/documents.parquet")) == scores
     for r in token_counts.op6_token_counts(spark, str(tmp_path)).collect():
         words = bpe.FULL.findall(texts[r["doc_id"]] or "")
         assert (r["n_pretokens"], r["n_distinct"]) == (len(words), len(set(words)))
-        assert r["n_tokens"] == sum(best_cut(w.encode(), pieces) for w in words)
+        assert r["n_tokens"] == sum(best_cut(w.encode(), dict(zip(names, scores))) for w in words)
 
 
 def test_trie_is_shared_and_bounded(monkeypatch):
-    pieces = token_counts.scores(bpe.default_path())
-    trie = token_counts.Trie(pieces)
+    names = token_counts.vocabulary(bpe.default_path())
+    scores = token_counts.first_scores(len(names))
+    pieces = dict(zip(names, scores))
+    trie = token_counts.Trie(names, scores)
     trie.tokens(b"prefixes")
     n = len(trie.score)
     trie.tokens(b"prefixed")
     assert len(trie.score) == n + 1
+    rng = random.Random(2)
+    for _ in range(200):
+        raw = "".join(rng.choices("abc thén", k=rng.randrange(1, 40))).encode()
+        assert trie.tokens(raw) == trie.along(raw)[0] == best_cut(raw, pieces)
+        assert list(trie.cut(raw).elements()) and trie.cut(raw) == trie.along(raw, keep=True)[1] == Counter(names.index(p) for p in cuts(raw, pieces))
     monkeypatch.setattr(token_counts, "NODES", 5)
     assert trie.tokens(b"prefixes") == best_cut(b"prefixes", pieces)
 
 
+def test_one_very_long_pre_token():
+    names = token_counts.vocabulary(bpe.default_path())
+    trie, machine = token_counts.Trie(names, token_counts.first_scores(len(names))), bpe.Automaton(bpe.default_path())
+    rng = random.Random(4)
+    raw = "".join(rng.choices("abcdefgh", k=300_000)).encode()
+    before = len(trie.score)
+    assert 0 < trie.tokens(raw) < len(raw) and len(trie.score) == before
+    ids = machine.word(raw)
+    assert b"".join(machine.labels[k] for k in ids) == raw
+
+
+def plain_features(text):
+    """Feature numbers by loops over words, from the definition."""
+    words, out = (text or "").encode().split(), set()
+    if not words:
+        return out
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * odd & mask
+        return x ^ x >> 31
+
+    def shape(w):
+        kinds = ["a" if 97 <= c <= 122 or c >= 128 else "A" if 65 <= c <= 90 else "0" if 48 <= c <= 57 else chr(c) for c in w]
+        return "".join(c for k, c in enumerate(kinds) if not k or c not in "aA0" or kinds[k - 1] != c).encode("latin-1")
+
+    h = [xxhash.xxh3_64_intdigest(w) for w in words]
+    s = [xxhash.xxh3_64_intdigest(shape(w), 1) for w in words]
+    out |= {*h, *s}
+    for x, salt in ((h, 3), (s, 5)):
+        out |= {mixed((a * 0x9E3779B97F4A7C15 + b + salt) & mask) for a, b in zip(x, x[1:])}
+    out |= {mixed((mixed((a + 7) & mask) * 3 + mixed(b) * 5 + c) & mask) for a, b, c in zip(s, s[1:], s[2:])}
+    same = sum(a == b for a, b in zip(h, h[1:]))
+    out |= {mixed(k + (1 << 40)) for k in range(same.bit_length() + 1)}
+    return {x >> 64 - qc.BITS for x in out}
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_scores_against_plain_version(spark, folder):
+    """The query again from its definition: features, ratios from the training rows alone, descent, curve and scores."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    known = [(k, q) for k, q, _ in spark.read.parquet(f"{folder}/labels.parquet").collect() if zlib.crc32(str(k).encode()) % 5 and k in docs]
+    known.sort(key=lambda x: (xxhash.xxh3_64_intdigest(str(x[0]).encode()), x[0]))
+    rows = [sorted(plain_features(docs[k])) for k, _ in known]
+    held = [i for i in range(len(rows)) if i % 5 == 0]
+    train = [i for i in range(len(rows)) if i % 5]
+    if len({known[i][1] for i in held}) < 2:  # no curve can be fitted on one class
+        held = train = list(range(len(rows)))
+    n = 1 << qc.BITS
+    totals, counts = [float(n), float(n)], [{}, {}]
+    for i in train:
+        c = int(known[i][1] > 0)
+        for f in rows[i]:
+            counts[c][f] = counts[c].get(f, 1.0) + 1
+            totals[c] += 1
+    ratio = lambda f: math.log(counts[1].get(f, 1.0) / totals[1]) - math.log(counts[0].get(f, 1.0) / totals[0])
+    w, b, a = {}, 0.0, [0.0] * len(train)
+    values = [{f: ratio(f) / math.sqrt(max(len(rows[i]), 1)) for f in rows[i]} for i in train]
+    y = [1 if known[i][1] > 0 else -1 for i in train]
+    rng = np.random.default_rng(0)
+    for _ in range(qc.EPOCHS):
+        moved = 0.0
+        for j in rng.permutation(len(train)):
+            g = y[j] * (sum(v * w.get(f, 0.0) for f, v in values[j].items()) + b) - 1
+            new = min(max(a[j] - g / (sum(v * v for v in values[j].values()) + 1), 0.0), qc.COST)
+            step, a[j] = new - a[j], new
+            for f, v in values[j].items():
+                w[f] = w.get(f, 0.0) + step * y[j] * v
+            b += step * y[j]
+            moved = max(moved, abs(step))
+        if moved < 1e-4 * qc.COST:
+            break
+    mean = sum(map(abs, w.values())) / n
+    margin = lambda x: b + sum(ratio(f) * ((1 - qc.BETA) * w.get(f, 0.0) + qc.BETA * mean) for f in x) / math.sqrt(max(len(x), 1))
+    slope, offset = qc.platt(np.array([margin(rows[i]) for i in held]), np.array([1.0 if known[i][1] > 0 else -1.0 for i in held]))
+    for r in qc.op7_quality_classifier(spark, folder).collect():
+        want = 1 / (1 + math.exp(-min(max(slope * margin(plain_features(docs[r["doc_id"]])) + offset, -30), 30)))
+        assert r["score"] == pytest.approx(want, abs=1e-6)
+
+
+def test_repeated_ids_and_the_bound_of_the_sample(spark):
+    rng = random.Random(1)
+    rows = [(k % 40, " ".join(rng.choices("abcdefgh", k=20)) + (" GOOD" if k % 2 else " bad"), 3) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").drop("quality")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    one = qc.train(docs, labels)
+    assert (qc.train(docs.repartition(7), labels).weights == one.weights).all()
+    few = qc.train(docs, labels, sample=10)
+    assert len(np.flatnonzero(few.weights)) and not (few.weights == one.weights).all()
+    long = spark.createDataFrame([(1, "w" * 200_000 + " x"), (2, "w" * 200_000 + " x")], "doc_id long, text string")
+    a, b = qc.classify(long, one).collect()
+    assert a["score"] == b["score"]
+
+
 def test_dual_descent_meets_the_optimum():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 4))
