@@ -6,11 +6,14 @@ that pass the base rules, over classes of characters and over the language's com
 Jensen-Shannon distances (base 2, from 0 to 1) of the text's own histograms, against limits that widen for short texts;
 either counts only where the text has MIN_CHARS characters or MIN_JUDGED words, below which its histogram tells little.
 
-One pass over the texts makes the counts, which are stored; references are sums over that table, one row a language.
-Within a text, windows are found twice by sorting 64-bit hashes of its windows.
-
-Defined results: a null or empty text has no words and fails. A null language, or one without a list of common words,
-has a reference for characters only. Rows with equal doc_id are judged each. An empty table gives an empty one.
+One pass over the texts makes the counts, which are stored; references are sums over that table, one row a language. A
+language (null is one, too) of fewer than MIN_TEXTS such texts is no reference for itself: its texts are compared with
+the sums over all languages, in their characters only. References come from the table itself, so a text's verdict can
+differ between tables. Within a text, windows are found twice by sorting 64-bit hashes of its windows.
+
+Defined results: a null or empty text has no words and fails. A language without a list of common words is compared in
+its characters only; a distance that has no reference is 0. Rows with equal doc_id, and equal rows, are judged each, alike where they are equal. Texts of any
+length are judged whole. Other columns stay or are ignored, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from loomlink.llm.common import documents, stored
 
 MIN_WORDS, MIN_CHARS, MIN_JUDGED = 50, 200, 50
+MIN_TEXTS = 20
 #: Limits are base + spread / sqrt(words): chance moves the histogram of a short text by as much.
 CHAR_LIMIT, WORD_LIMIT = (0.17, 0.8), (0.22, 0.9)
 WHITE = " \t\n\x0b\f\r"
@@ -47,7 +51,7 @@ def counts(df: DataFrame, keep: list[str]) -> DataFrame:
     trimmed = F.btrim(text, F.lit(WHITE))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WHITE_CLASS))
     lists = reduce(lambda c, k: c.when(F.col("lang") == k, F.array(*map(F.lit, COMMON[k]))), COMMON, F.when(F.lit(False), F.array().cast("array<string>")))
-    df = df.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(keep)], F.col("lang").alias("_lang"), text.alias("_t"), words.alias("_w"), lists.alias("_common"))
+    df = df.select(*[quoted(c).alias(f"_k{n}") for n, c in enumerate(keep)], F.col("lang").alias("_lang"), text.alias("_t"), words.alias("_w"), lists.alias("_common"))
 
     def windows(w: Column) -> Column:
         return F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))).otherwise(F.array().cast("array<bigint>"))
@@ -83,10 +87,14 @@ def counts(df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def references(counted: DataFrame) -> DataFrame:
-    """(_lang, _class_sums, _word_sums): sums over the texts that pass the base rules, a row for each language."""
-    sums = [F.sum(F.col("_classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))] + [F.sum(F.col("_words")[k]).alias(f"w{k}") for k in range(len(CODES))]
-    summed = counted.where("not _failed").groupBy("_lang").agg(*sums)
-    return summed.select("_lang", F.array(*[f"c{k}" for k in range(len(CLASSES))]).alias("_class_sums"), F.array(*[f"w{k}" for k in range(len(CODES))]).alias("_word_sums"))
+    """(_of, _class_sums, _word_sums): sums over the texts that pass the base rules, a row for each language that has
+    MIN_TEXTS of them, and a row marked _all with the sums of all languages' characters."""
+    n, m = range(len(CLASSES)), range(len(CODES))
+    sums = [F.sum(F.col("_classes")[k]).alias(f"c{k}") for k in n] + [F.sum(F.col("_words")[k]).alias(f"w{k}") for k in m]
+    summed = stored(counted.where("not _failed").groupBy("_lang").agg(F.count("*").alias("_texts"), *sums), "sums")
+    own = summed.where(F.col("_texts") >= MIN_TEXTS).select(F.lit(False).alias("_all"), F.col("_lang").alias("_of"), F.array(*[f"c{k}" for k in n]).alias("_class_sums"), F.array(*[f"w{k}" for k in m]).alias("_word_sums"))
+    every = summed.agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in n]).where("c0 is not null")
+    return own.union(every.select(F.lit(True), F.lit(None).cast("string"), F.array(*[f"c{k}" for k in n]), F.lit(None).cast("array<double>")))
 
 
 def distance(own: str, reference: str) -> Column:
@@ -102,11 +110,19 @@ def distance(own: str, reference: str) -> Column:
     return F.round(F.sqrt(F.greatest(sums[0] / 2, F.lit(0.0))), 9)
 
 
+def quoted(c: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def judge(df: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns `keep` of df (doc_id, text, lang, ...), and of each text the counts, distances and verdict in `_q`."""
+    """`_kept`, a struct of the columns `keep` of df (doc_id, text, lang, ...), and `_q`, one of the counts, distances and
+    verdict of each text."""
     counted = stored(counts(df, keep), "counts")
-    known = references(counted).withColumnRenamed("_lang", "_of")
-    both = counted.join(stored(known, "references"), F.col("_lang").eqNullSafe(F.col("_of")), "left")
+    known = stored(references(counted), "references")
+    every = known.where("_all").select(F.col("_class_sums").alias("_all_sums"))
+    both = counted.join(known.where("not _all"), F.col("_lang").eqNullSafe(F.col("_of")), "left").join(F.broadcast(every), how="left")  # one row
+    both = both.withColumn("_class_sums", F.coalesce("_class_sums", "_all_sums"))
     char = F.when(F.col("_chars") >= MIN_CHARS, distance("_classes", "_class_sums"))
     word = F.when(F.col("_n_words") >= MIN_JUDGED, distance("_words", "_word_sums"))
     both = both.withColumn("_char", char).withColumn("_word", word)
@@ -119,11 +135,12 @@ def judge(df: DataFrame, keep: list[str]) -> DataFrame:
         F.col("_char").alias("char_distance"),
         F.col("_word").alias("word_distance"),
     )
-    return both.select(*[F.col(f"_k{n}").alias(c) for n, c in enumerate(keep)], verdict.alias("_q"))
+    kept = F.struct(*[F.col(f"_k{n}").alias(c) for n, c in enumerate(keep)]) if keep else F.lit(None)
+    return both.select(kept.alias("_kept"), verdict.alias("_q"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(documents(spark, sf_dir).select("doc_id", "text", "lang"), ["doc_id"]).select("doc_id", "_q.*")
+    return judge(documents(spark, sf_dir).select("doc_id", "text", "lang"), ["doc_id"]).select("_kept.*", "_q.*")
 
 
 def _sql() -> str:
@@ -154,9 +171,11 @@ f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS
   [{classes}] AS five,
   CASE WHEN common IS NOT NULL THEN list_transform(range(0, {m}), lambda k: CAST(len(list_filter(coded, lambda x: x = k)) AS DOUBLE)) END AS words FROM c),
 h AS (SELECT *, list_append(five, CAST(length(t) AS DOUBLE) - list_sum(five)) AS classes FROM f),
-s AS (SELECT lang AS of, [{', '.join(f'sum(classes[{k}])' for k in range(1, n + 1))}] AS class_sums, [{', '.join(f'sum(words[{k}])' for k in range(1, m + 1))}] AS word_sums FROM h WHERE NOT base_failed GROUP BY lang),
-j AS (SELECT h.*, CASE WHEN length(t) >= {MIN_CHARS} THEN {js('classes', 'class_sums', n)} END AS char_distance,
-  CASE WHEN n_words >= {MIN_JUDGED} THEN {js('words', 'word_sums', m)} END AS word_distance FROM h LEFT JOIN s ON lang IS NOT DISTINCT FROM of)
+s AS (SELECT lang AS of, count(*) AS texts, [{', '.join(f'sum(classes[{k}])' for k in range(1, n + 1))}] AS class_sums, [{', '.join(f'sum(words[{k}])' for k in range(1, m + 1))}] AS word_sums FROM h WHERE NOT base_failed GROUP BY lang),
+a AS (SELECT [{', '.join(f'sum(class_sums[{k}])' for k in range(1, n + 1))}] AS all_sums FROM s),
+l AS (SELECT h.*, coalesce(s.class_sums, all_sums) AS class_sums, word_sums FROM h LEFT JOIN s ON lang IS NOT DISTINCT FROM of AND texts >= {MIN_TEXTS}, a),
+j AS (SELECT *, CASE WHEN length(t) >= {MIN_CHARS} THEN {js('classes', 'class_sums', n)} END AS char_distance,
+  CASE WHEN n_words >= {MIN_JUDGED} THEN {js('words', 'word_sums', m)} END AS word_distance FROM l)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND NOT (coalesce(char_distance > {CHAR_LIMIT[0]} + {CHAR_LIMIT[1]} / sqrt(CAST(n_words AS DOUBLE)), false)

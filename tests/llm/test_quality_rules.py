@@ -55,6 +55,16 @@ def test_as_sql_and_keeps_clean(spark, sf):
     assert judged[judged.quality == 0].kept.mean() < 0.2
 
 
+def test_rare_languages_are_no_reference_for_themselves(spark, tmp_path):
+    clean = [" ".join(["the", "word", "of", "a", f"thing{k}", "and", "more"] * 1 + [f"item{k}x{j}" for j in range(70)]) for k in range(30)]
+    junk = " ".join(f"@@##{j}%%" for j in range(80))
+    rows = [(k, t, "en") for k, t in enumerate(clean)] + [(100, junk, "xx"), (101, junk + " 1", None), (102, clean[0], "yy")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in q.op2_quality_rules(spark, str(tmp_path)).collect()}
+    assert not got[100]["base_failed"] and not got[100]["kept"] and not got[101]["kept"] and got[102]["kept"]
+    assert got[100]["char_distance"] > 0.4 and not got[100]["word_distance"]
+
+
 def test_native_plan(spark):
     plan = q.op2_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
