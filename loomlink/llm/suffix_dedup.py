@@ -13,11 +13,15 @@ equal strings have equal anchors at equal places. Runs of strings with one ancho
    bytes, and keeps the common prefix lengths of neighbours. Two strings at one distance from their anchors are equal
    if no shorter common prefix lies between them in either order; the earliest of such a class stays.
 
-Texts equal to that of a smaller doc_id are found first by their MD5 and are removed whole.
+Two shortcuts keep copies out of the suffixes and change no result: texts equal to that of a smaller doc_id are found
+first, by their SHA-256, and are removed whole, as every string of theirs starts earlier there; and of segments with
+equal bytes in one batch, compared as bytes, only the earliest goes on, as every string of the others starts earlier in it.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing. Rows with a null doc_id keep everything
 and are no source of repeats. Rows with equal doc_id and text are one document, each returned; with equal doc_id and
-different texts, a hash of the text orders them. Other columns stay as they are. An empty table gives an empty one.
+different texts, a hash of the text orders them. Texts of any length are taken whole, PIECE bytes at a time. Of equal
+strings that start at once in two documents' orders the smaller doc_id's stays, and in one document the earlier. Other
+columns stay as they are, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -354,7 +358,7 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     without characters that were cut in two); without text and without columns that have the names of these."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", "text")
-    told = stored(slim.where("doc_id is not null").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").alias("n")).where(f"n >= {LENGTH}"), "digests")
+    told = stored(slim.where("doc_id is not null").select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), F.octet_length("text").alias("n")).where(f"n >= {LENGTH}"), "digests")
     size = told.agg(F.sum("n")).first()[0] or 0
     first = stored(told.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")
     copies = told.join(first, "digest").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("digest").alias("_loom_copies"))
@@ -369,7 +373,7 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     others = [c for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text")]
     both = docs.join(runs.withColumnRenamed("doc_id", "_loom_id"), F.col("doc_id") == F.col("_loom_id"), "left").drop("_loom_id")
     both = both.join(copies.withColumnRenamed("doc_id", "_loom_id"), F.col("doc_id") == F.col("_loom_id"), "left").drop("_loom_id")
-    both = both.select(*others, "text", "_loom_runs", "_loom_copies")
+    both = both.select(*(F.col("`" + c.replace("`", "``") + "`").alias(f"_loom_{k}") for k, c in enumerate(others)), "text", "_loom_runs", "_loom_copies")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,7 +381,7 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
             columns = (batch.column("text").cast(pa.binary()), batch.column("_loom_runs"), batch.column("_loom_copies"))
             for text, own, copy in zip(*(c.to_pylist() for c in columns), strict=True):
                 raw = text or b""
-                if copy and hashlib.md5(raw).hexdigest() in copy:
+                if copy and hashlib.sha256(raw).digest() in map(bytes, copy):
                     cut = [(0, len(raw))]
                 elif own:
                     key = text_key(raw)
@@ -399,8 +403,9 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     more = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())]
     more += [T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())] if keep_text else []
-    names = [*others, *(f.name for f in more)]
-    return both.mapInArrow(run, T.StructType([*(docs.schema[c] for c in others), *more]))
+    kept_columns = [T.StructField(f"_loom_{k}", docs.schema[c].dataType) for k, c in enumerate(others)]
+    names = [*(f.name for f in kept_columns), *(f.name for f in more)]
+    return both.mapInArrow(run, T.StructType([*kept_columns, *more])).toDF(*others, *(f.name for f in more))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
