@@ -5,10 +5,11 @@ groups of equal sequences instead of single ones. Pieces longer than a third of
 of them share a sequence: from the largest down, each takes the largest large piece that still fits. Smaller pieces
 then go, from the largest down, where the least room is left. The plan has some thousand rows at any size of input.
 Each piece finds its place by its rank among the pieces of its length; ranks are counted in slices of the hash of
-(doc_id, piece), so that a very common length is spread over tasks.
+(doc_id, piece, place in the stored table), so that a very common length is spread over tasks even where ids repeat.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed each; an empty table gives an
-empty one; other columns are ignored. Texts of any length are taken whole.
+empty one; other columns are ignored, whatever their names. Texts of any length are taken whole. Ties between sequences
+of one room go to the last one made; between pieces of one length, to a hash's order.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}  # at most `capacity` rows
     rows = np.array(sorted(plan(counts, capacity)), np.int64).reshape(-1, 6)
     n_slices = 4 * partitions(spark)
-    sliced = made.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_slices)))
+    sliced = made.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "piece", "_metadata.row_index"), F.lit(n_slices)))
     before = W.partitionBy("length").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     starts = sliced.groupBy("length", "_slice").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     within = W.partitionBy("length", "_slice").orderBy("doc_id", "piece", "ids_crc32")
