@@ -24,10 +24,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may leave it unset and gets
+    a temporary one; elsewhere each executor would write to its own disk."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: the cluster must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomlink-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
@@ -36,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage is cut and a lost executor loses nothing.
 
-    The tables are removed when the driver's process ends.
+    tidy() removes tables that are no longer read; the others go when the driver's process ends, or the session before.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomlink-{uuid.uuid4().hex[:12]}-{name}"
@@ -44,18 +47,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     key = spark.sparkContext.applicationId
     if key not in _TABLES:
         _TABLES[key] = []
-        atexit.register(_remove, spark, key)
+        # Taken now: a stopped session has no configuration, but its virtual machine can still remove files.
+        atexit.register(_remove, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), key)
     _TABLES[key].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._loomlink_path = path
+    return read
 
 
-def _remove(spark: SparkSession, key: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None or spark.sparkContext._jsc is None:
-        return
-    for path in _TABLES.pop(key, []):
+def tables(spark: SparkSession) -> list[str]:
+    """The stored tables of this session."""
+    return list(_TABLES.get(spark.sparkContext.applicationId, []))
+
+
+def tidy(spark: SparkSession, before: list[str], *keep: DataFrame) -> None:
+    """Removes the tables stored since `before`, but those of `keep`. Nothing that is read later may stand on them."""
+    key = spark.sparkContext.applicationId
+    stay = {*before, *(df._loomlink_path for df in keep)}
+    gone = [path for path in _TABLES.get(key, []) if path not in stay]
+    _TABLES[key] = [path for path in _TABLES.get(key, []) if path in stay]
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), gone)
+
+
+def _delete(jvm, conf, paths: list[str]) -> None:
+    for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def _remove(jvm, conf, key: str) -> None:
+    _delete(jvm, conf, _TABLES.pop(key, []))
 
 
 def partitions(spark: SparkSession) -> int:

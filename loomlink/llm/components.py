@@ -35,21 +35,21 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (u, v); component is the smallest node of it.
 
     Each part of at most about EDGES edges is contracted to stars by union-find; where there is one part, that is all.
     Otherwise rounds of alternating stars follow: every neighbour of a node is joined to the smallest one, first the
-    larger neighbours, then the smaller, until the table is one star for each component, in a logarithmic number of
-    rounds. These are aggregates and joins of stored tables, so a node with very many neighbours is split by adaptive
+    larger neighbours, then the smaller, until the table is one star for each component and stays as it is. That takes
+    a logarithmic number of rounds, and there is no bound on them. These are aggregates and joins of stored tables, so a node with very many neighbours is split by adaptive
     skew handling.
     """
     now = stored(edges.where("u <> v").select("u", "v"), "edges")
     parts = ceil(now.count() / EDGES)
-    now = now.coalesce(1) if parts <= 1 else now.repartition(parts, "u")
+    now = now.coalesce(1) if parts <= 1 else now.repartition(parts, "u", "v")  # by both, as a hub has too many edges for a task
     now = stored(now.mapInArrow(forest, "u long, v long"), "forest")
     was = None
-    for _ in range(rounds if parts > 1 else 0):
+    while parts > 1:
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == was or not mark["n"]:
             break

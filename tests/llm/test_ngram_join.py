@@ -152,3 +152,40 @@ def test_components_against_union_find(spark, monkeypatch, edges):
     got = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(rows, "u long, v long")).collect()}
     assert got == {x: top(x) for e in rows if e[0] != e[1] for x in e}
     assert cc.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_names_of_sets():
+    import numpy as np
+
+    x = np.array([1, 2, 3], np.uint64)
+    first, second = nj.set_keys(x)
+    assert nj.set_name(x, frozenset()) == first and nj.set_name(x, frozenset([first])) == second != first
+
+
+def test_long_lists_go_round_their_bucket():
+    import numpy as np
+    import pyarrow as pa
+
+    keys = [np.array([7 << 32 | 5, k + 100], np.uint64) for k in range(nj.SHORT + 3)]
+    bucket, blob = nj.packed(keys, list(range(1, len(keys) + 1)), [4] * len(keys), [9] * len(keys), 2)
+    made = dict(zip(bucket.to_pylist(), blob.to_pylist()))
+    ids = [b for b in made if b >= 2]
+    assert len(ids) == 1
+    n = int(np.frombuffer(made[ids[0]], np.int64, 1)[0])
+    assert n == len(keys) and set(np.frombuffer(made[ids[0]], np.int64, n, 8).tolist()) == {1 << 32 | 5}
+    entries = nj.unpack([made[1]])
+    assert (entries[2] == 0).sum() == 1 and entries[0][entries[2] == 0].tolist() == [5]
+
+
+def test_shared_lists_bound_the_overlap(spark):
+    """Sets that share some lists but too few, and others that share just enough, among sets of other sizes."""
+    rng = random.Random(9)
+    vocabulary = ["v%d" % k for k in range(10_000)]
+    word = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    texts = []
+    for n in (30, 60, 200, 800):
+        for share in (0.3, 0.6, 0.8, 0.84, 0.85, 0.86, 0.87, 0.9, 0.95):
+            base = word(n)
+            texts += [" ".join(base), " ".join(base[: int(share * n)] + word(n - int(share * n)))]
+            texts += [" ".join(base[: int(share * n)])]
+    same(spark, list(enumerate(texts)))
