@@ -1,35 +1,43 @@
 """Exact top-k by inner product: vectors in order of length, rotated partial sums, Cauchy-Schwarz bounds.
 
 Components become integers, floor(scale * x). All vectors are rotated by the eigenvectors of their second moments (the
-right singular vectors), so that the first components hold most of each product. Candidates are stored in blocks in
-order of descending length. A query's bar is its k-th best product with the longest vectors of all (SEEDS of them, a
-fixed number) and rises as blocks are read. In a block, rows whose length times the query's is under the bar end the
-scan, as all later ones are shorter; of the others, those whose partial product plus the product of the lengths of
-what is left of both is under the bar are passed over. The rest get their exact integer product.
-
-Query blocks meet candidate blocks; each task gives at most k rows a query, and a ranked window takes the best.
+right singular vectors), so that the first components hold most of each product. Candidates are stored once, in blocks in
+order of descending length, dealt by ranges of it, with their rotated heads and the lengths of what is left. A query's
+bar is its k-th best product with the longest vectors of all (SEEDS of them, a fixed number) and rises as blocks are
+read. Blocks whose longest vector is under the bar of every query are not read at all. In a block, rows whose length
+times the query's is under the bar end the scan, as all later ones are shorter; of the others, those whose partial
+product plus the product of the lengths of what is left of both is under the bar are passed over. The rest get their
+exact integer product.
+
+Queries are taken in turns of at most TURN blocks of BLOCK, which is all that is broadcast and all that a task holds, at
+any number of queries; every turn scans the candidates in all tasks. Each task gives at most k rows a query, and a ranked
+window takes the best. The dim rows of the moments are summed on executors; one row of each reaches the driver.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part. Shorter vectors count as
 padded with zeros. A row is a query if its vec_id is divisible by `every`; candidates are all rows of another vec_id,
 repeated rows each. Rows with a null vec_id take no part. Products beyond 64 bits are held at its ends. Ties go to the
-smaller vec_id. An empty table gives an empty one. Other columns are ignored.
+smaller vec_id. An empty table gives an empty one. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomlink.llm.common import partitions, stored
+from loomlink.llm.common import partitions, stored, tables, tidy
 
 SCALE, EVERY, K = 1024, 100, 10
 BLOCK, SEEDS, FIRST = 4096, 2048, 16
+#: Blocks of queries that are searched for at once.
+TURN = 16
 #: Integers up to this give exact products in double precision.
 EXACT = float(1 << 53)
 
@@ -63,19 +71,24 @@ def matrix(blobs: list[bytes], dim: int) -> np.ndarray:
 
 
 def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
-    """Eigenvectors of the sum of v v' over all rows, largest eigenvalue first; dim * dim sums reach the driver."""
+    """Eigenvectors of the sum of v v' over all rows, largest eigenvalue first; dim rows of sums reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dim, dim))
         for batch in batches:
             x = matrix(batch.column(0).to_pylist(), dim)
             total += x.T @ x
-        i, j = np.divmod(np.arange(dim * dim), max(dim, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total.ravel())], ["i", "j", "s"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim, dtype=np.int32)), pa.array([r.tobytes() for r in total], pa.binary())], ["i", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(dim)
+        for blob in table.column("sums").to_pylist():
+            total += np.frombuffer(blob)
+        return pa.table([table.column("i").slice(0, 1), pa.array([total.tobytes()], pa.binary())], ["i", "sums"])
 
     moments = np.zeros((dim, dim))
-    for r in vectors.select("vector").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
-        moments[r["i"], r["j"]] = r["s"]
+    for r in vectors.select("vector").mapInArrow(run, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary").toLocalIterator():
+        moments[r["i"]] = np.frombuffer(r["sums"])
     if not np.isfinite(moments).all():
         return np.eye(dim)
     return np.linalg.eigh(moments)[1][:, ::-1].copy()
@@ -91,32 +104,34 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in whole], np.int64)
 
 
+def bars(ids: np.ndarray, queries: np.ndarray, k: int, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Each query's k-th best product with the seeds, or minus infinity."""
+    bar = np.full(len(ids), -np.inf)
+    for q in range(len(ids)):
+        own = seeds[0] != ids[q]
+        if own.sum() >= k:
+            scores = exact(seeds[1][own], np.broadcast_to(queries[q], (int(own.sum()), queries.shape[1])))
+            bar[q] = np.partition(scores, -k)[-k]
+    return bar
+
+
 class Best:
     """The k best candidates so far of each query of a block."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, k: int, seeds: tuple[np.ndarray, np.ndarray]):
-        self.ids, self.queries, self.k, self.turn = ids, queries, k, turn
-        self.rotated = queries @ turn
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, heads: np.ndarray, rest: np.ndarray, bar: np.ndarray, k: int):
+        self.ids, self.queries, self.k, self.heads, self.rest = ids, queries, k, heads, rest
         self.norm = np.sqrt(np.square(queries).sum(1))
-        self.rest = np.sqrt(np.square(self.rotated[:, FIRST:]).sum(1))
         self.found: list[list[tuple[int, int]]] = [[] for _ in ids]
-        self.bar = np.full(len(ids), -np.inf)
-        for q in range(len(ids)):
-            own = seeds[0] != ids[q]
-            if own.sum() >= k:
-                scores = exact(seeds[1][own], np.broadcast_to(queries[q], (int(own.sum()), queries.shape[1])))
-                self.bar[q] = np.partition(scores, -k)[-k]
-
-    def scan(self, ids: np.ndarray, norms: np.ndarray, vectors: np.ndarray) -> None:
+        self.bar = bar.copy()
+
+    def scan(self, ids: np.ndarray, norms: np.ndarray, heads: np.ndarray, rest: np.ndarray, vectors: np.ndarray) -> None:
         """Takes in a block of candidates in order of descending norm."""
-        rotated = vectors @ self.turn
-        rest = np.sqrt(np.square(rotated[:, FIRST:]).sum(1))
         for q in range(len(self.ids)):
             slack = 1e-6 + 1e-9 * self.norm[q] * (norms[0] if len(norms) else 0)
             n = int(np.searchsorted(-(norms * self.norm[q] + slack), -self.bar[q], "right")) if self.norm[q] else len(norms)
             if not n:
                 continue
-            bound = rotated[:n, :FIRST] @ self.rotated[q, :FIRST] + rest[:n] * self.rest[q] + slack
+            bound = heads[:n] @ self.heads[q] + rest[:n] * self.rest[q] + slack
             near = np.flatnonzero((bound >= self.bar[q]) & (ids[:n] != self.ids[q])) if np.isfinite(bound).all() else np.flatnonzero(ids[:n] != self.ids[q])
             if not len(near):
                 continue
@@ -132,49 +147,85 @@ class Best:
 def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, every: int = EVERY, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the k candidates of the highest integer inner product."""
     spark = df.sparkSession
+    before = tables(spark)
     vectors = stored(integers(df, id_col, vector_col, scale), "vectors")
     size = vectors.agg(F.max("dim").alias("dim"), F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
     dim = max(size["dim"] or 0, 1)
-    turn = rotation(vectors, dim)
+    first = min(FIRST, dim)
     longest = vectors.orderBy(F.desc("norm"), "id").limit(SEEDS).select("id", "vector").collect()
-    seeds = spark.sparkContext.broadcast((np.array([r["id"] for r in longest], np.int64), matrix([bytes(r["vector"]) for r in longest], dim), turn))
-
-    def blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(rows))
-        for at in range(0, table.num_rows, BLOCK):
-            part = table.slice(at, BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in (part.column("id").to_numpy().tobytes(), part.column("norm").to_numpy().tobytes(), matrix(part.column("vector").to_pylist(), dim).tobytes())], ["ids", "norms", "vectors"])
+    seeds = spark.sparkContext.broadcast((np.array([r["id"] for r in longest], np.int64), matrix([bytes(r["vector"]) for r in longest], dim), rotation(vectors, dim)))
+
+    def blocks(batches: Iterator[pa.RecordBatch], asking: bool) -> Iterator[pa.RecordBatch]:
+        *seed, turn = seeds.value
+        held, n = [], 0
+
+        def out(table: pa.Table) -> pa.RecordBatch:
+            ids, x = table.column("id").to_numpy(), matrix(table.column("vector").to_pylist(), dim)
+            norms, rotated = table.column("norm").to_numpy(), x @ turn
+            rest = np.sqrt(np.square(rotated[:, first:]).sum(1))
+            bar = bars(ids, x, k, seed) if asking else np.zeros(0)
+            lead = float(norms[0])
+            if asking:  # the length under which no vector can pass any bar of the block
+                slack = 1e-5 + 1e-8 * norms * (np.sqrt(np.square(seed[1]).sum(1)).max(initial=0) if len(seed[0]) else 0)
+                lead = float(np.where(norms > 0, (bar - slack) / np.where(norms > 0, norms, 1), -np.inf).min())
+                lead = lead if np.isfinite(lead) else -1.0
+            blobs = [pa.array([c.tobytes()], pa.binary()) for c in (ids, norms, np.ascontiguousarray(rotated[:, :first]), rest, x, bar)]
+            return pa.RecordBatch.from_arrays([pa.array([lead]), *blobs], names)
 
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            while n >= BLOCK:
+                whole = pa.Table.from_batches(held)
+                yield out(whole.slice(0, BLOCK))
+                held, n = whole.slice(BLOCK).to_batches(), n - BLOCK
+        if n:
+            yield out(pa.Table.from_batches(held))
+
+    names = ["lead", "ids", "norms", "heads", "rest", "vectors", "bars"]
+    shape = "lead double, " + ", ".join(f"{c} binary" for c in names[1:])
     n_tasks = max(partitions(spark), ceil(size["n"] / (16 * BLOCK)))
     by_length = vectors.repartitionByRange(n_tasks, F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
-    shape = "ids binary, norms binary, vectors binary"
-    candidates = stored(by_length.mapInArrow(blocks, shape), "blocks")
+    candidates = stored(by_length.mapInArrow(lambda x: blocks(x, False), shape).drop("bars"), "blocks")
     asking = vectors.where(F.col("id") % every == 0).dropDuplicates(["id", "vector"])
-    asking = asking.repartition(max(1, ceil(size["q"] / BLOCK))).mapInArrow(blocks, shape)
-    asking = stored(asking.toDF("q_ids", "q_norms", "q_vectors"), "queries")
+    turns = max(1, ceil(size["q"] / (BLOCK * TURN)))
+    asking = asking.repartitionByRange(max(1, ceil(size["q"] / BLOCK)), F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
+    asking = asking.mapInArrow(lambda x: blocks(x, True), shape).withColumn("turn", F.pmod(F.spark_partition_id(), F.lit(turns)))
+    asking = stored(asking.toDF(*(f"q_{c}" for c in names), "turn"), "queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, longest, turn = seeds.value
         best: dict[tuple[bytes, bytes], Best] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 key = row["q_ids"], row["q_vectors"]
                 if key not in best:
-                    best[key] = Best(np.frombuffer(key[0], np.int64), np.frombuffer(key[1]).reshape(-1, dim), turn, k, (first, longest))
-                best[key].scan(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["norms"]), np.frombuffer(row["vectors"]).reshape(-1, dim))
-        rows = [(int(b.ids[q]), n, i, -s) for n, b in enumerate(best.values()) for q in range(len(b.ids)) for s, i in b.found[q]]
-        marks = [hash_(b.queries[q]) for b in best.values() for q in range(len(b.ids)) for _ in b.found[q]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array(marks, pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())], ["query_id", "mark", "vec_id", "score"])
-
-    met = candidates.crossJoin(asking).mapInArrow(run, "query_id long, mark long, vec_id long, score long")
+                    part = [np.frombuffer(row[f"q_{c}"]) for c in ("vectors", "heads", "rest", "bars")]
+                    best[key] = Best(np.frombuffer(key[0], np.int64), part[0].reshape(-1, dim), part[1].reshape(-1, first), part[2], part[3], k)
+                part = [np.frombuffer(row[c]) for c in ("norms", "heads", "rest", "vectors")]
+                best[key].scan(np.frombuffer(row["ids"], np.int64), part[0], part[1].reshape(-1, first), part[2], part[3].reshape(-1, dim))
+        rows = [(int(b.ids[q]), mark, i, -s) for b in best.values() for q in range(len(b.ids)) if b.found[q] for mark in [hash_(b.queries[q])] for s, i in b.found[q]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(4)], ["query_id", "mark", "vec_id", "score"])
+
+    parts = []
+    for turn in range(turns):
+        own = asking.where(F.col("turn") == turn).drop("turn")
+        least = own.agg(F.min("q_lead")).first()[0]
+        if least is None:
+            continue
+        met = candidates.where(F.col("lead") >= least).crossJoin(F.broadcast(own))  # about TURN blocks of queries
+        met = met.mapInArrow(run, "query_id long, mark long, vec_id long, score long")
+        parts.append(met if turns == 1 else stored(met, "met"))
+    if not parts:
+        parts = [spark.createDataFrame([], "query_id long, mark long, vec_id long, score long")]
     rank = F.row_number().over(W.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = reduce(DataFrame.union, parts).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = stored(ranked, "best")
+    tidy(spark, before, best)
+    return best
 
 
 def hash_(v: np.ndarray) -> int:
     """Tells apart queries of one id."""
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(v.tobytes()) >> 1
 
 

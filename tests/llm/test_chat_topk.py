@@ -81,6 +81,7 @@ def test_top_k_as_sql(spark):
 def test_top_k_against_brute_force(spark, monkeypatch, dim, n, seeds):
     monkeypatch.setattr(topk, "SEEDS", seeds)
     monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "TURN", 1)
     rng = random.Random(dim)
     rows = [(k, [rng.gauss(0, 1 + (k % 9)) for _ in range(dim)]) for k in range(n)]
     rows[3] = (3, None)
@@ -102,6 +103,7 @@ def test_top_k_against_brute_force(spark, monkeypatch, dim, n, seeds):
 
 def test_top_k_of_many_queries_with_one_vector(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "TURN", 2)
     rng = random.Random(3)
     rows = [(k, [1.0, 2.0, 3.0] if k % 2 == 0 else [rng.gauss(0, 1) for _ in range(3)]) for k in range(200)]
     ints = {k: [math.floor(1024 * x) for x in v] for k, v in rows}
@@ -113,5 +115,15 @@ def test_top_k_of_many_queries_with_one_vector(spark, monkeypatch):
     assert sorted(map(tuple, topk.top_k(df, every=2).collect())) == sorted(want)
 
 
+def test_top_k_of_repeated_rows(spark):
+    rows = [(k % 120, [float(k % 7), 1.0]) for k in range(360)]
+    ints = [(k, [1024 * int(x) for x in v]) for k, v in rows]
+    want = []
+    for q, v in sorted({(q, tuple(v)) for q, v in ints if q % 100 == 0}):
+        best = sorted((-sum(a * b for a, b in zip(v, x)), k) for k, x in ints if k != q)[:10]
+        want += [(q, r + 1, k, -s) for r, (s, k) in enumerate(best)]
+    assert sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())) == sorted(want)
+
+
 def test_top_k_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
