@@ -61,7 +61,9 @@ def bpe_ids(text):
 def test_odd_rows_pass_every_stage(spark):
     long = " ".join(f"word{k * k % 97} and the" for k in range(80))
     rows = [(1, long, None, "a"), (None, long + " x", "en", None), (1, long, None, "a"), (2, None, None, None), (3, "", "en", "b"), (4, "a@b.cc " + long, "xx", "b")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_removed string")
+    rows = [(*r, 1, 2, 3, 4, 5) for r in rows]
+    names = ["n_removed", "_q", "a.b", "_row", "rest", "_kept"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` {'string' if c == 'n_removed' else 'long'}" for c in names))
     empty = spark.createDataFrame([], df.schema)
     for name, stage in corpus_pipeline.STAGES:
         for now in (df, empty):
