@@ -7,8 +7,14 @@
 4. personal_data: spans of personal data are replaced by their kind.
 5. best_fit_packing: the texts become pieces placed in sequences.
 
-Each function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs, of
-which n_chars follows the text where there is one. Documents without a doc_id pass stages 2 and 3 unchanged.
+Each function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs, whatever
+their names, of which n_chars follows the text where there is one.
+
+Defined results of every stage: a null text counts as empty, and an empty text has too few words for stage 1, so neither
+goes further. Documents without a doc_id pass stages 2 and 3 unchanged. Repeated rows are judged alike in stage 1, stay
+or go together in stage 2, lose and are masked alike in stages 3 and 4, and are packed each. Of near duplicates with one
+smallest doc_id and several texts, the row of the least hash stays. Texts of any length are taken whole. An empty table
+gives an empty one. What a stage stored is removed when the next stage's table is written.
 """
 
 from __future__ import annotations
@@ -17,18 +23,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlink.llm import ngram_join, packing, pii, quality_rules, suffix_dedup
-from loomlink.llm.common import documents, stored
+from loomlink.llm.common import documents, stored, tables, tidy
+from loomlink.llm.quality_rules import quoted
+
+
+def _whole(docs: DataFrame):
+    """All columns as one, which no other name can clash with."""
+    return F.struct(*map(quoted, docs.columns)).alias("_kept")
 
 
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     kind = dict(docs.dtypes).get("n_chars")
     if kind:
         docs = docs.withColumn("n_chars", F.char_length("text").cast(kind))
-    return docs.select(*columns)
+    return docs.select(*map(quoted, columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(docs, docs.columns).where("_q.kept").select(*docs.columns)
+    return quality_rules.judge(docs, docs.columns).where("_q.kept").select("_kept.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +50,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known = stored(docs.where("doc_id is not null").select("doc_id", row.alias("_row")).distinct().join(told, "_row"), "rows")
     first = known.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("first"))
     gone = stored(known.join(first, "component_id").where("_row <> first").select("_row"), "gone")
-    return docs.withColumn("_row", row).join(gone, "_row", "left_anti").select(*docs.columns)
+    return docs.select(_whole(docs), row.alias("_row")).join(gone, "_row", "left_anti").select("_kept.*")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    slim = docs.select("doc_id", "text", F.struct(*rest).alias("rest")) if rest else docs
+    slim = docs.select("doc_id", "text", F.struct(*map(quoted, rest)).alias("rest")) if rest else docs
     cut = suffix_dedup.dedup(slim, keep_text=True).where("n_removed = 0 or n_removed < n_bytes")
     cut = cut.select("doc_id", F.col("kept_text").alias("text"), *(["rest.*"] if rest else []))
     return _recounted(cut, docs.columns)
@@ -69,7 +81,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), tables(spark)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        tidy(spark, before, docs)
     return docs
