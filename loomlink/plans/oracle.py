@@ -38,7 +38,7 @@ TRUTH = f"""keyed AS (SELECT raw.doc_id, src, entity_id, array_to_string(string_
 truth AS (
   SELECT r.entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids
   FROM (SELECT entity_id FROM raw WHERE src = 1) r LEFT JOIN (
-    SELECT o.entity_id, array_to_string(list(t.entity_id ORDER BY t.doc_id)[1:11], ',') AS ids
+    SELECT o.entity_id, array_to_string(list(t.entity_id ORDER BY t.doc_id), ',') AS ids
     FROM (SELECT key, arg_min(entity_id, doc_id) AS entity_id FROM keyed WHERE src = 1 AND key IS NOT NULL GROUP BY key) o
     JOIN keyed t ON t.key = o.key AND t.src > 1 GROUP BY o.entity_id) l ON l.entity_id = r.entity_id),
 links AS (SELECT DISTINCT source1_entity_id, unnest({_ITEMS}) AS candidate_entity_id FROM truth),
@@ -46,8 +46,9 @@ lists AS (SELECT source1_entity_id AS ref, list_sort(list_distinct({_ITEMS})) AS
 SCORED = """scored AS (
   SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, ((a.doc_id * 7919 + b.doc_id * 104729) % 1000) / 1000.0::DOUBLE AS score,
     ((a.doc_id * 31 + b.doc_id * 17) % 1000) / 1000.0::DOUBLE AS probability, CASE WHEN l.source1_entity_id IS NULL THEN 0 ELSE 1 END AS label, a.doc_id AS r, b.doc_id AS c
-  FROM raw a JOIN raw b ON a.src = 1 AND b.src > 1 AND a.doc_id // 100 = b.doc_id // 100
-  LEFT JOIN links l ON l.source1_entity_id = a.entity_id AND l.candidate_entity_id = b.entity_id)"""
+  FROM raw a JOIN raw b ON a.src = 1 AND b.src > 1
+  LEFT JOIN links l ON l.source1_entity_id = a.entity_id AND l.candidate_entity_id = b.entity_id
+  WHERE a.doc_id // 100 = b.doc_id // 100 OR l.source1_entity_id IS NOT NULL)"""
 DEC = """dec AS (
   SELECT source1_entity_id, candidate_entity_id, probability,
     CASE WHEN a.address_norm IS NOT NULL AND b.address_norm IS NOT NULL THEN ((r + c) % 100) / 100.0::DOUBLE END AS address_tfidf_cosine,
