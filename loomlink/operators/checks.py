@@ -99,9 +99,9 @@ def ungrouped(lines: DataFrame) -> DataFrame:
     sliced = lines.withColumn("_slice", F.floor(F.col("line_no") / 1_000_000))
     prior = F.lag(REF).over(W.partitionBy("_slice").orderBy("line_no"))
     starts = sliced.withColumn("_prior", prior).where(F.col("_prior").isNull() | (F.col("_prior") != F.col(REF)))
-    ends = sliced.groupBy("_slice").agg(F.max_by(REF, "line_no").alias("_last")).select((F.col("_slice") + 1).alias("_slice"), "_last")
-    first = sliced.groupBy("_slice").agg(F.min("line_no").alias("line_no"))
-    heads = first.join(ends, "_slice").join(sliced.select("line_no", F.col(REF).alias("_ref")), "line_no").where("_ref = _last").select("line_no")
+    ends = sliced.groupBy("_slice").agg(F.min("line_no").alias("line_no"), F.min_by(REF, "line_no").alias("_ref"), F.max_by(REF, "line_no").alias("_end"))
+    last = F.lag("_end").over(W.orderBy("_slice"))  # of the slice before that has lines; one row a million lines
+    heads = ends.withColumn("_last", last).where("_ref = _last").select("line_no")
     counted = starts.join(heads, "line_no", "left_anti").groupBy(REF).count().where("count > 1")
     return rows(counted, "ungrouped", F.col(REF), F.col("count"))
 

@@ -120,17 +120,35 @@ def score(predicted: DataFrame, truth: DataFrame) -> float:
 def sweep(pairs: DataFrame, truth: DataFrame, thresholds: DataFrame, decide_fn: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(threshold, macro_f): the decision at every threshold at once.
 
-    decide_fn takes pairs with a threshold column, of at least that threshold already, and must keep it. Only counts by
-    threshold and reference are aggregated; references without a prediction are reckoned from the truth alone.
+    Without decide_fn, a candidate goes to its best pair, whatever the threshold, so pairs are assigned once. A reference's
+    score is constant between the levels (the largest thresholds not over a probability) of its pairs; its steps are
+    summed by level, and a threshold's total is the sum of the steps at its level and above.
+
+    decide_fn takes pairs with a threshold column, of at least that threshold already, and must keep it; then pairs are
+    copied for each threshold. References without a prediction are reckoned from the truth alone.
     """
-    at = pairs.crossJoin(F.broadcast(thresholds)).where(known("probability") >= F.col("threshold"))
-    at = (decide_fn or (lambda p: assign(p, "threshold")))(at)
     links = truth.select(F.col("ref").alias(REF), F.explode("ids").alias(CAND)).distinct().withColumn("hit", F.lit(1))
     n_true = truth.select(F.col("ref").alias(REF), F.size(F.array_distinct("ids")).alias("t"))
-    counts = at.select("threshold", *PAIR).distinct().join(links, PAIR, "left").groupBy("threshold", REF).agg(F.count("*").alias("p"), F.count("hit").alias("tp"))
-    f = counts.join(n_true, REF).groupBy("threshold").agg(F.sum(f_beta(F.col("tp").cast("double"), F.col("p"), F.col("t"))).alias("s"), F.count_if(F.col("t") == 0).alias("wrong"))
     base = n_true.agg(F.count("*").alias("n"), F.count_if(F.col("t") == 0).alias("single"))
-    made = thresholds.join(f, "threshold", "left").crossJoin(F.broadcast(base))
+    score = lambda tp, p: f_beta(F.col(tp).cast("double"), F.col(p), F.col("t"))
+    if decide_fn is None:
+        every = thresholds.agg(F.array_sort(F.collect_set("threshold")).alias("_every"))
+        level = F.try_element_at(F.filter("_every", lambda x: x <= F.col("probability")), F.lit(-1))
+        own = assign(pairs.where(known("probability").isNotNull())).crossJoin(F.broadcast(every)).withColumn("level", level).where("level is not null")
+        own = own.select(*PAIR, "level").groupBy(*PAIR).agg(F.max("level").alias("level")).join(links, PAIR, "left")
+        counts = own.groupBy(REF, "level").agg(F.count("*").alias("p"), F.count("hit").alias("tp")).join(n_true, REF)
+        above = W.partitionBy(REF).orderBy(F.desc("level"))
+        steps = counts.withColumns({c: F.sum(c).over(above.rowsBetween(W.unboundedPreceding, 0)) for c in ("p", "tp")})
+        steps = steps.withColumn("f", score("tp", "p")).withColumn("before", F.lag("f").over(above))
+        steps = steps.groupBy("level").agg(F.sum(F.col("f") - F.coalesce("before", F.lit(0.0))).alias("s"), F.count_if((F.col("t") == 0) & F.col("before").isNull()).alias("wrong"))
+        total = W.orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, 0)  # one row a threshold
+        made = thresholds.join(steps.withColumnRenamed("level", "threshold"), "threshold", "left").withColumns({c: F.sum(F.coalesce(c, F.lit(0))).over(total) for c in ("s", "wrong")})
+    else:
+        at = decide_fn(pairs.crossJoin(F.broadcast(thresholds)).where(known("probability") >= F.col("threshold")))
+        counts = at.select("threshold", *PAIR).distinct().join(links, PAIR, "left").groupBy("threshold", REF).agg(F.count("*").alias("p"), F.count("hit").alias("tp"))
+        f = counts.join(n_true, REF).groupBy("threshold").agg(F.sum(score("tp", "p")).alias("s"), F.count_if(F.col("t") == 0).alias("wrong"))
+        made = thresholds.join(f, "threshold", "left")
+    made = made.crossJoin(F.broadcast(base))
     return made.select("threshold", ((F.coalesce("s", F.lit(0.0)) + F.col("single") - F.coalesce("wrong", F.lit(0))) / F.col("n")).alias("macro_f"))
 
 
