@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +12,8 @@ from loomlink.schemas import CAND, FEATURE_VERSION, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import io
 
 
-def _new_folder(path: str) -> None:
-    if os.path.exists(path):
+def _new_folder(spark: SparkSession, path: str) -> None:
+    if io.exists(spark, path):
         raise FileExistsError(path)
 
 
@@ -30,7 +28,7 @@ def normalize(spark: SparkSession, raw_paths: list[str], out: str) -> dict[str,
 
 def block(s1: DataFrame, pool: DataFrame, out: str, k: int = 50) -> None:
     """Scored pairs and id lists of the k best candidates."""
-    _new_folder(out)
+    _new_folder(s1.sparkSession, out)
     pairs = blocking.retrieve_candidates(s1, pool, k, digits=6)
     pairs.write.parquet(f"{out}/pairs")
     pairs = s1.sparkSession.read.parquet(f"{out}/pairs")
@@ -47,7 +45,7 @@ def split(truth: DataFrame, records: DataFrame, share: float = 0.2, seed: int =
 
 def handoff(records: DataFrame, truth: DataFrame, parts: dict[str, DataFrame], pairs: DataFrame, out: str, most: int = 50) -> dict:
     """Features, labels, truth and id lists for each part (references), and a manifest written last."""
-    _new_folder(out)
+    _new_folder(records.sparkSession, out)
     links = evaluate.truth_links(truth)
     s1, targets = records.where("entity_id like 'S1-%'"), records.where("not entity_id like 'S1-%'")
     checks.require(checks.record_keys(records), "records")
@@ -74,7 +72,7 @@ def handoff(records: DataFrame, truth: DataFrame, parts: dict[str, DataFrame], p
         io.write_ids(refs.select(REF), f"{out}/{name}/ids")
         io.write_tsv(io.id_lists(own.withColumnRenamed("blocking_score", "score"), refs, F.asc("candidate_rank")), f"{out}/{name}/candidates")
         told["parts"][name] = counts | evaluate.blocking_metrics(own, links, refs).first().asDict()
-    io.write_manifest(f"{out}/manifest.json", told)
+    io.write_manifest(records.sparkSession, f"{out}/manifest.json", told | {"files": io.digests(records.sparkSession, out)})
     return told
 
 
@@ -88,7 +86,7 @@ def score_pairs(pairs: DataFrame, records: DataFrame, extractor: features.Featur
 
 def infer(s1: DataFrame, pool: DataFrame, pairs: DataFrame, extractor: features.FeatureExtractor, model: Matcher, threshold: float, out: str, rule: decision.Corroboration | None = None) -> dict:
     """Matching and candidate files for every reference, verified, with a summary written last."""
-    _new_folder(out)
+    _new_folder(s1.sparkSession, out)
     spark, records = s1.sparkSession, io.pool(s1, pool)
     refs = s1.select(F.col("entity_id").alias(REF))
     score_pairs(pairs, records, extractor, model).write.parquet(f"{out}/scored")
@@ -102,7 +100,7 @@ def infer(s1: DataFrame, pool: DataFrame, pairs: DataFrame, extractor: features.
     io.write_tsv(candidates, f"{out}/candidates")
     rates = match_rates(decision.to_predictions(accepted, refs), s1).collect()
     told = {"threshold": threshold, "references": s1.count(), "accepted": accepted.count(), "match_rate": {r["country"]: r["match_rate"] for r in rates}}
-    io.write_manifest(f"{out}/summary.json", told)
+    io.write_manifest(spark, f"{out}/summary.json", told | {"files": io.digests(spark, out)})
     return told
 
 
@@ -112,13 +110,17 @@ def match_rates(predictions: DataFrame, s1: DataFrame) -> DataFrame:
     return met.groupBy("country").agg(F.count("*").alias("n"), F.avg((F.size("ids") > 0).cast("int")).alias("match_rate"))
 
 
-def fixture_pairs(truth: DataFrame, targets: DataFrame, seed_matches: int = 11) -> DataFrame:
+def fixture_pairs(truth: DataFrame, targets: DataFrame) -> DataFrame:
     """(ref, cand, label): true links, and for each reference the first target that is none of them.
 
-    The first non-match is among the first matches + 1 targets, so only these few are met.
+    A reference of n links has its first non-match among the first n + 1 targets, so only as many as the longest list
+    asks for are met.
     """
     lists = evaluate.truth_lists(truth)
-    few = targets.select(F.col("entity_id").alias(CAND)).orderBy(CAND).limit(seed_matches + 1)
+    most = lists.agg(F.max(F.size("ids"))).first()[0] or 0
+    few = targets.select(F.col("entity_id").alias(CAND)).orderBy(CAND).limit(most + 1)
+    few = few.agg(F.array_sort(F.collect_list(CAND)).alias("few"))
     links = lists.select(F.col("ref").alias(REF), F.explode("ids").alias(CAND), F.lit(1).alias("label"))
-    other = lists.crossJoin(F.broadcast(few)).where(~F.array_contains("ids", F.col(CAND))).groupBy("ref").agg(F.min(CAND).alias(CAND))
-    return links.unionByName(other.select(F.col("ref").alias(REF), CAND, F.lit(0).alias("label")))
+    first = F.get(F.array_except(F.slice("few", 1, F.size("ids") + 1), "ids"), F.lit(0))
+    other = lists.crossJoin(F.broadcast(few)).select(F.col("ref").alias(REF), first.alias(CAND), F.lit(0).alias("label")).where(F.col(CAND).isNotNull())
+    return links.unionByName(other)
