@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_ONCE: dict[tuple[str, str], DataFrame] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -45,9 +49,38 @@ def local_session(cpus: int | str | None = None, partitions: int = 8, **conf: st
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; only a local session gets a temporary one where it is unset."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: the cluster must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomlink-"))
+        found = sc.getCheckpointDir()
+    return found.rstrip("/")
+
+
+def once(key: str, make: Callable[[], DataFrame], spark: SparkSession) -> DataFrame:
+    """The table of this key, made and written to the shared folder the first time in a session, and removed at the end."""
+    at = (spark.sparkContext.applicationId, key)
+    if at not in _ONCE:
+        path = f"{shared_dir(spark)}/loomlink-{uuid.uuid4().hex[:12]}"
+        df = make()
+        df.write.parquet(path)
+        _ONCE[at] = spark.read.schema(df.schema).parquet(path)
+        atexit.register(_remove, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+    return _ONCE[at]
+
+
+def _remove(jvm, conf, path: str) -> None:
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder, so that plans on it are short; a temporary folder is taken where none is set."""
+    """df written to the checkpoint folder, so that plans on it are short."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomlink-"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

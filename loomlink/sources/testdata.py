@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlink.functions import text as tx
+from loomlink.session import once
+
+
+def _kept(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The table is derived once in a session and folder."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return once(f"{f.__name__} {sf_dir}", lambda: f(spark, sf_dir), spark)
+
+    return run
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +38,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_kept
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized records with doc_id and src."""
     base = raw(spark, sf_dir)
@@ -42,28 +57,34 @@ def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return base, owners
 
 
+@_kept
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (source1_entity_id, candidate_entity_id): each key's first S1 record with all other records of the key."""
     base, owners = _keyed(spark, sf_dir)
     return owners.join(base.where("src > 1"), "key").select(F.col("ref").alias("source1_entity_id"), F.col("entity_id").alias("candidate_entity_id")).distinct()
 
 
+@_kept
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source1_entity_id, matched_entity_ids): records of one key belong to its first S1 record, eleven at most."""
+    """(source1_entity_id, matched_entity_ids): records of one key belong to its first S1 record."""
     base, owners = _keyed(spark, sf_dir)
-    targets = base.where("src > 1").groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("doc_id", "entity_id"))), 1, 11).alias("t"))
+    targets = base.where("src > 1").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("doc_id", "entity_id"))).alias("t"))
     lists = owners.join(targets, "key").select("ref", F.array_join(F.col("t.entity_id"), ",").alias("ids"))
     refs = base.where("src = 1").select(F.col("entity_id").alias("ref"))
     return refs.join(lists, "ref", "left").select(F.col("ref").alias("source1_entity_id"), F.coalesce("ids", F.lit("")).alias("matched_entity_ids"))
 
 
+@_kept
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source1_entity_id, candidate_entity_id, score, probability, label, r, c): pairs within blocks of 100 ids."""
+    """(source1_entity_id, candidate_entity_id, score, probability, label, r, c): all links, and pairs within blocks of 100 ids."""
     base = raw(spark, sf_dir).select("doc_id", "src", "entity_id")
     left = base.where("src = 1").select(F.col("entity_id").alias("source1_entity_id"), F.col("doc_id").alias("r"), F.floor(F.col("doc_id") / 100).alias("block"))
     right = base.where("src > 1").select(F.col("entity_id").alias("candidate_entity_id"), F.col("doc_id").alias("c"), F.floor(F.col("doc_id") / 100).alias("block"))
-    links = truth(spark, sf_dir).select("source1_entity_id", F.explode(tx.id_list(F.col("matched_entity_ids"))).alias("candidate_entity_id"), F.lit(1).alias("label"))
-    pairs = left.join(right, "block").join(links, ["source1_entity_id", "candidate_entity_id"], "left")
+    known = links(spark, sf_dir)
+    linked = known.join(left.drop("block"), "source1_entity_id").join(right.drop("block"), "candidate_entity_id")
+    names = ["source1_entity_id", "candidate_entity_id", "r", "c"]
+    pairs = left.join(right, "block").select(*names).union(linked.select(*names)).distinct()
+    pairs = pairs.join(known.withColumn("label", F.lit(1)), names[:2], "left")
     return pairs.select(
         "source1_entity_id",
         "candidate_entity_id",
@@ -75,6 +96,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_kept
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frame that decisions are taken on."""
     rec = records(spark, sf_dir)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomlink.functions import similarity as sim
 from loomlink.functions import text as tx
-from loomlink.operators import checks, decision, evaluate, features, model
+from loomlink.operators import blocking, checks, decision, evaluate, features, model
 from loomlink.plans import catalog, linkage
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import config, io, testdata
@@ -43,9 +43,50 @@ def test_names(spark, raw, name, suffix):
         assert (got["name_norm"], got["legal_suffix"], got["address_norm"], got["country"]) == (name, suffix, None, "US")
 
 
-def test_repair_by_runs():
-    assert tx.repair_text("Ã©t é Ã©") == "ét é é"
-    assert tx.repair_text("plain") == "plain" and tx.repair_text(None) is None
+def test_repair_by_runs(spark):
+    cases = {"Ã©t é Ã©": "ét é é", "日 Ã©t": "日 ét", "plain": "plain", None: None, "日 â\u0082¬ Ãx": "日 € Ãx", "é ð\u009f\u0098\u0080©": "é 😀©"}
+    df = spark.createDataFrame([(x,) for x in cases], "x string").select("x", tx.repair(F.col("x")).alias("y"), tx.normalize_text(F.col("x")).alias("z"))
+    got = {r["x"]: r for r in df.collect()}
+    assert {k: r["y"] for k, r in got.items()} == cases and got["Ã©t é Ã©"]["z"] == "et e e"
+
+
+def test_ungrouped_across_empty_slices(spark):
+    lines = lambda rows: spark.createDataFrame(rows, f"{REF} string, line_no long")
+    assert checks.ungrouped(lines([("a", 0), ("a", 5_000_000), ("b", 5_000_001)])).count() == 0
+    found = checks.ungrouped(lines([("a", 0), ("b", 999_999), ("b", 3_000_000), ("a", 9_000_000), ("a", 12_000_000)])).collect()
+    assert [(r["ref"], r["detail"]) for r in found] == [("a", "2")]
+
+
+def test_sweep_as_one_decision_for_each_threshold(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = sorted({(f"S1-{rng.randrange(12)}", f"S2-{rng.randrange(25)}"): rng.choice([0.02, 0.3, 0.31, 0.5, 0.977, None, float("nan"), rng.random()]) for _ in range(160)}.items())
+    pairs_ = spark.createDataFrame([(*k, p) for k, p in rows], f"{REF} string, {CAND} string, probability double")
+    truth = spark.createDataFrame([(f"S1-{k}", [f"S2-{j}" for j in range(k % 4)]) for k in range(12)], "ref string, ids array<string>")
+    grid = decision.grid(spark)
+    fast = {r["threshold"]: r["macro_f"] for r in decision.sweep(pairs_, truth, grid).collect()}
+    plain = {r["threshold"]: r["macro_f"] for r in decision.sweep(pairs_, truth, grid, lambda p: decision.assign(p, "threshold")).collect()}
+    assert fast.keys() == plain.keys() and all(fast[t] == pytest.approx(plain[t], abs=1e-12) for t in plain)
+
+
+@pytest.mark.parametrize("block,asking,turn", [(4096, 512, 16), (3, 2, 1)])
+def test_candidates_against_all_scored_pairs(spark, monkeypatch, block, asking, turn):
+    """Top-K of blocks, with bounds and turns, as the best of all pairs' scores; ties, empty fields and equal records."""
+    import random
+
+    for name, value in (("BLOCK", block), ("ASKING", asking), ("TURN", turn)):
+        monkeypatch.setattr(blocking, name, value)
+    rng = random.Random(4)
+    words = "red blue green old new tall x main road 12 7".split()
+    text = lambda n: " ".join(rng.choices(words, k=n)) or None
+    rows = [(f"S{s}-{k}", text(rng.randrange(4)), text(rng.randrange(4))) for s in (1, 2) for k in range(20)]
+    rows += [(f"S2-{100 + k}", "red blue", "12 main road") for k in range(8)] + [("S1-99", None, None), ("S1-98", "red blue", "7 new road")]
+    df = spark.createDataFrame(rows, "entity_id string, name_norm string, address_norm string")
+    s1, pool = df.where("entity_id like 'S1%'"), df.where("entity_id like 'S2%'")
+    want = blocking.top_k(blocking.score_pairs(s1, pool).withColumn("score", F.round("score", 6)), 5)
+    got = blocking.retrieve_candidates(s1, pool, 5, digits=6)
+    assert sorted(map(tuple, got.select(*PAIR, "score", "rank").collect())) == sorted(map(tuple, want.select(*PAIR, "score", "rank").collect()))
 
 
 def test_similarities():
