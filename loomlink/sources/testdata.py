@@ -47,12 +47,18 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", "src", "entity_id", name.alias("name_norm"), suffix.alias("legal_suffix"), tx.normalize_text(F.col("business_address")).alias("address_norm"), "country")
 
 
-def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Records with their key, and the first S1 record (ref) of each key."""
+@_kept
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, src, entity_id, key): the key is the first eight words of the whole text, normalized."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words = F.split(tx.normalize_text(F.col("text")), " ")
     keys = docs.select("doc_id", F.array_join(F.slice(words, 1, 8), " ").alias("key"))
-    base = raw(spark, sf_dir).select("doc_id", "src", "entity_id").join(keys, "doc_id")
+    return raw(spark, sf_dir).select("doc_id", "src", "entity_id").join(keys, "doc_id")
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records with their key, and the first S1 record (ref) of each key."""
+    base = keyed(spark, sf_dir)
     owners = base.where("src = 1 and key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "entity_id"))["entity_id"].alias("ref"))
     return base, owners
 
