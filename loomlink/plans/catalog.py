@@ -678,7 +678,7 @@ def str04(spark, d):
 #: Fixed cases: a string, and it repaired as a whole or run by run.
 _REPAIRS = [
     ("PrÃ©sident", "Président"), ("Ã©t é Ã©", "ét é é"), ("日 cafÃ©", "日 café"), ("plain", "plain"), ("", ""), ("Ãx", "Ãx"), ("日 Â© Ã¼ber", "日 © über"),
-    ("日 â\u0082¬5", "日 €5"), ("日 ð\u009f\u0098\u0080", "日 😀"), ("日 Ã©©", "日 é©"), ("é Ã\u0089", "é É"), ("é Â\u0082¬", "é €"), ("日 Ð\u009f", "日 П"),
+    ("日 â\u0082¬5", "日 €5"), ("日 ð\u009f\u0098\u0080", "日 😀"), ("日 Ã©©", "日 㩩"), ("é Ã\u0089", "é É"), ("é Â\u0082¬", "é €"), ("日 Ð\u009f", "日 П"),
 ]
 
 
