@@ -22,7 +22,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log
+from functools import lru_cache
+from math import ceil, log
 
 import ahocorasick
 import numpy as np
@@ -40,6 +41,8 @@ NODES, WORDS = 500_000, 400_000
 LONG = 512
 #: Rounds of the estimate, and what is added to each piece's count.
 ROUNDS, SMOOTH = 2, 1.0
+#: Distinct pre-tokens of a task of the estimate.
+SHARE = 100_000
 #: Distinct pre-tokens that a task counts before it passes them on.
 KNOWN = 200_000
 
@@ -64,13 +67,12 @@ class Trie:
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
-        self.score, self.count, self.last, self.above = [0], [0], [(-1, 0)], [-1]
+        self.score, self.count = [0], [0]
+        self.piece, self.start = [-1], [-1]  # the last piece of the best cut, and the node before it
 
     def node(self, raw: bytes) -> int:
         """The node of raw, put in if it is new."""
-        if len(self.score) > NODES:
-            self.clear()
-        child, score, count = self.child, self.score, self.count
+        child, score, count, scores = self.child, self.score, self.count, self.scores
         node, path = 0, [0]
         for byte in raw:
             if (node := child.get(node << 8 | byte, -1)) < 0:
@@ -78,47 +80,54 @@ class Trie:
             path.append(node)
         known = len(path) - 1
         if known == len(raw):
-            return node
-        at, best, fewest, how = known + 1, None, 0, (-1, 0)
-
-        def put() -> None:
-            if best is None:
-                raise ValueError("the vocabulary lacks a byte")
-            child[path[-1] << 8 | raw[at - 1]] = new = len(score)
-            self.above.append(path[-1])
-            path.append(new)
-            score.append(best), count.append(fewest), self.last.append(how)
-
+            return path[-1]
+        at, best, fewest, piece, start = known, None, 0, -1, -1
         for end, (k, n) in self.ends.iter(raw.decode("latin-1")):
             if end < known:
                 continue
-            if end >= at:
-                put()
-                at, best = end + 1, None
-            start = path[end + 1 - n]
-            total, pieces = score[start] + self.scores[k], count[start] + 1
-            if best is None or total > best or total == best and (pieces, -n) < (fewest, -how[1]):
-                best, fewest, how = total, pieces, (k, n)
-        put()
-        if len(path) != len(raw) + 1:
+            if end > at:
+                if best is None:
+                    raise ValueError("the vocabulary lacks a byte")
+                child[path[-1] << 8 | raw[at]] = new = len(score)
+                path.append(new)
+                score.append(best), count.append(fewest), self.piece.append(piece), self.start.append(start)
+                at, best = end, None
+            before = path[end + 1 - n]
+            total, pieces = score[before] + scores[k], count[before] + 1
+            if best is None or total > best or total == best and (pieces < fewest or pieces == fewest and n > length):
+                best, fewest, piece, start, length = total, pieces, k, before, n
+        if best is None or at != len(raw) - 1:
             raise ValueError("the vocabulary lacks a byte")
-        return path[-1]
+        child[path[-1] << 8 | raw[at]] = new = len(score)
+        score.append(best), count.append(fewest), self.piece.append(piece), self.start.append(start)
+        return new
+
+    def full(self) -> bool:
+        return len(self.score) > NODES
 
     def tokens(self, raw: bytes) -> int:
         """The number of pieces of the best cut of raw."""
-        return self.count[self.node(raw)] if len(raw) <= LONG else self.along(raw)[0]
+        if len(raw) > LONG:
+            return self.along(raw)[0]
+        if self.full():
+            self.clear()
+        return self.count[self.node(raw)]
+
+    def pieces_of(self, times: dict[int, int]) -> Counter:
+        """How often each piece is in the best cuts of the nodes' strings, each taken so many times: what a node has is
+        passed on to the node before its last piece, from the youngest down, so a shared prefix is cut once."""
+        flow, used = [0] * len(self.score), Counter()
+        for node, n in times.items():
+            flow[node] += n
+        for node in range(len(flow) - 1, 0, -1):
+            if n := flow[node]:
+                used[self.piece[node]] += n
+                flow[self.start[node]] += n
+        return used
 
     def cut(self, raw: bytes) -> Counter:
         """How often each piece is in the best cut of raw."""
-        if len(raw) > LONG:
-            return self.along(raw, keep=True)[1]
-        node, used = self.node(raw), Counter()
-        while node:
-            k, n = self.last[node]
-            used[k] += 1
-            for _ in range(n):
-                node = self.above[node]
-        return used
+        return self.along(raw, keep=True)[1] if len(raw) > LONG else self.pieces_of({self.node(raw): 1})
 
     def along(self, raw: bytes, keep: bool = False) -> tuple[int, Counter]:
         """Pieces of a long string; with `keep`, also which (four bytes a byte), else only the last scores are held."""
@@ -166,11 +175,6 @@ class Counts(dict):
         return n
 
 
-def vocabulary(path: str) -> list[bytes]:
-    """The vocabulary's pieces in order of rank."""
-    return [piece for piece, _ in sorted(bpe.vocabulary(path).items(), key=lambda x: x[1])]
-
-
 def first_scores(n: int) -> list[int]:
     """Scores by rank, as word frequencies fall."""
     return [-round(65536 * log(k + 2)) for k in range(n)]
@@ -181,6 +185,23 @@ def next_scores(used: dict[int, int], n: int) -> list[int]:
     return [round(65536 * log((used.get(k, 0) + SMOOTH) / total)) for k in range(n)]
 
 
+@lru_cache(2)
+def vocabulary(path: str) -> list[bytes]:
+    """The vocabulary's pieces in order of rank."""
+    return [piece for piece, _ in sorted(bpe.vocabulary(path).items(), key=lambda x: x[1])]
+
+
+@lru_cache(2)
+def matcher_of(path: str) -> ahocorasick.Automaton:
+    return matcher(vocabulary(path))
+
+
+@lru_cache(1)
+def counts_of(path: str, scores: tuple[int, ...]) -> Counts:
+    """One table of counts for each Python worker, so that its tasks share the trie."""
+    return Counts(Trie(vocabulary(path), list(scores), matcher_of(path)))
+
+
 def pre_tokens(text: str) -> list[str]:
     return (bpe.FAST if bpe.PLAIN.fullmatch(text) else bpe.FULL).findall(text)
 
@@ -213,15 +234,25 @@ def estimate(df: DataFrame, text_col: str = "text", path: str | None = None, rou
     spark = df.sparkSession
     scores = first_scores(len(vocabulary(path)))
     words = stored(word_counts(df, text_col), "words")
+    n_tasks = max(1, ceil(words.count() / SHARE))
+    words = stored(words.repartitionByRange(n_tasks, "word").sortWithinPartitions("word"), "sorted_words")  # prefixes together
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(scores)  # one number for each piece
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            trie, used = Trie(vocabulary(path), shared.value), Counter()
+            trie, used, times = Trie(vocabulary(path), shared.value, matcher_of(path)), Counter(), {}
             for batch in batches:
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for k, m in trie.cut(word).items():
-                        used[k] += n * m
+                    if len(word) > LONG:
+                        for k, m in trie.cut(word).items():
+                            used[k] += n * m
+                        continue
+                    if trie.full():
+                        used += trie.pieces_of(times)
+                        trie.clear(), times.clear()
+                    node = trie.node(word)
+                    times[node] = times.get(node, 0) + n
+            used += trie.pieces_of(times)
             yield pa.RecordBatch.from_arrays([pa.array(list(used), pa.int32()), pa.array(list(used.values()), pa.int64())], ["piece", "n"])
 
         told = words.mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
@@ -232,10 +263,10 @@ def estimate(df: DataFrame, text_col: str = "text", path: str | None = None, rou
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, scores: list[int] | None = None) -> DataFrame:
     """(id, n_pretokens, n_distinct, n_tokens) of each row's text, under these scores or those that its texts give."""
     path = path or bpe.default_path()
-    shared = df.sparkSession.sparkContext.broadcast(scores or estimate(df, text_col, path))
+    shared = df.sparkSession.sparkContext.broadcast(tuple(scores or estimate(df, text_col, path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(Trie(vocabulary(path), shared.value))
+        counts = counts_of(path, shared.value)
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
                 rows = []
