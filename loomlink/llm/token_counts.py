@@ -160,17 +160,21 @@ class Trie:
 
 
 class Counts(dict):
-    """Tokens of each pre-token; long ones are reckoned each time."""
+    """Tokens of each pre-token; long ones are reckoned each time. At WORDS the words in hand become the old ones, and of
+    those only what is asked for again comes back, so frequent words outlast the rare."""
 
     def __init__(self, trie: Trie):
         super().__init__()
-        self.trie = trie
+        self.trie, self.old = trie, {}
 
     def __missing__(self, word: str) -> int:
-        if len(self) > WORDS:
-            self.clear()
-        n = self.trie.tokens(word.encode("utf-8", "surrogatepass"))
+        n = self.old.get(word)
+        if n is None:
+            n = self.trie.tokens(word.encode("utf-8", "surrogatepass"))
         if len(word) <= LONG:
+            if len(self) >= WORDS:
+                self.old = dict(self)
+                self.clear()
             self[word] = n
         return n
 
