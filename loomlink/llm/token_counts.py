@@ -39,6 +39,8 @@ from loomlink.llm.common import documents, slices, stored
 NODES, WORDS = 500_000, 400_000
 #: Bytes of a pre-token that goes into the trie.
 LONG = 512
+#: Bits for the number of pieces of a pre-token in the trie, and a total below all others.
+PIECES, NONE = 16, -(1 << 80)
 #: Rounds of the estimate, and what is added to each piece's count.
 ROUNDS, SMOOTH = 2, 1.0
 #: Distinct pre-tokens of a task of the estimate.
@@ -62,45 +64,48 @@ class Trie:
 
     def __init__(self, pieces: list[bytes], scores: list[int], ends: ahocorasick.Automaton | None = None):
         self.scores, self.longest = scores, max(map(len, pieces))
+        self.weights = [(x << PIECES) - 1 for x in scores]
         self.ends = ends or matcher(pieces)
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
-        self.score, self.count = [0], [0]
+        self.score = [0]  # the best cut's score above its last PIECES bits, less its pieces: one order of both
         self.piece, self.start = [-1], [-1]  # the last piece of the best cut, and the node before it
 
     def node(self, raw: bytes) -> int:
         """The node of raw, put in if it is new."""
-        child, score, count, scores = self.child, self.score, self.count, self.scores
-        node, path = 0, [0]
+        child, score, weights = self.child, self.score, self.weights
+        node, path, sums = 0, [0], [0]
         for byte in raw:
             if (node := child.get(node << 8 | byte, -1)) < 0:
                 break
             path.append(node)
-        known = len(path) - 1
+            sums.append(score[node])
+        known = at = len(path) - 1
         if known == len(raw):
             return path[-1]
-        at, best, fewest, piece, start = known, None, 0, -1, -1
-        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):
+        best, piece, start = NONE, -1, -1
+        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):  # of those that end at a place, the longest comes first
             if end < known:
                 continue
             if end > at:
-                if best is None:
+                if best == NONE or end > at + 1:
                     raise ValueError("the vocabulary lacks a byte")
-                child[path[-1] << 8 | raw[at]] = new = len(score)
-                path.append(new)
-                score.append(best), count.append(fewest), self.piece.append(piece), self.start.append(start)
-                at, best = end, None
-            before = path[end + 1 - n]
-            total, pieces = score[before] + scores[k], count[before] + 1
-            if best is None or total > best or total == best and (pieces < fewest or pieces == fewest and n > length):
-                best, fewest, piece, start, length = total, pieces, k, before, n
-        if best is None or at != len(raw) - 1:
+                self._put(raw, at, path, best, piece, start)
+                sums.append(best)
+                at, best = end, NONE
+            if (one := sums[end + 1 - n] + weights[k]) > best:
+                best, piece, start = one, k, end + 1 - n
+        if best == NONE or at != len(raw) - 1:
             raise ValueError("the vocabulary lacks a byte")
-        child[path[-1] << 8 | raw[at]] = new = len(score)
-        score.append(best), count.append(fewest), self.piece.append(piece), self.start.append(start)
-        return new
+        self._put(raw, at, path, best, piece, start)
+        return path[-1]
+
+    def _put(self, raw: bytes, at: int, path: list[int], best: int, piece: int, start: int) -> None:
+        self.child[path[-1] << 8 | raw[at]] = new = len(self.score)
+        path.append(new)
+        self.score.append(best), self.piece.append(piece), self.start.append(path[start])
 
     def full(self) -> bool:
         return len(self.score) > NODES
@@ -111,7 +116,7 @@ class Trie:
             return self.along(raw)[0]
         if self.full():
             self.clear()
-        return self.count[self.node(raw)]
+        return -self.score[self.node(raw)] & (1 << PIECES) - 1
 
     def pieces_of(self, times: dict[int, int]) -> Counter:
         """How often each piece is in the best cuts of the nodes' strings, each taken so many times: what a node has is
