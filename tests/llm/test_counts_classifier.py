@@ -70,6 +70,21 @@ def test_trie_is_shared_and_bounded(monkeypatch):
     assert trie.tokens(b"prefixes") == best_cut(b"prefixes", pieces)
 
 
+def test_full_table_of_counts_keeps_words_in_use(monkeypatch):
+    names = token_counts.vocabulary(bpe.default_path())
+    scores = token_counts.first_scores(len(names))
+    monkeypatch.setattr(token_counts, "WORDS", 3)
+    trie = token_counts.Trie(names, scores)
+    counts, asked = token_counts.Counts(trie), []
+    monkeypatch.setattr(trie, "tokens", lambda raw, tokens=trie.tokens: asked.append(raw) or tokens(raw))
+    pieces = dict(zip(names, scores))
+    for k in range(12):
+        for word in (" the", f" rare{k}"):
+            assert counts[word] == best_cut(word.encode(), pieces)
+            assert len(counts) <= 3 and len(counts.old) <= 3
+    assert asked.count(b" the") == 1 and len(asked) == 13
+
+
 def test_one_very_long_pre_token():
     names = token_counts.vocabulary(bpe.default_path())
     trie, machine = token_counts.Trie(names, token_counts.first_scores(len(names))), bpe.Automaton(bpe.default_path())
