@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomlink.functions import similarity as sim
 from loomlink.functions import text as tx
-from loomlink.operators import audit, blocking, checks, decision, evaluate, features, model, sampling
+from loomlink.operators import audit, blocking, checks, decision, evaluate, features, files, model, sampling
 from loomlink.plans import linkage, oracle
 from loomlink.plans.oracle import DEC, GRAMS, PER, RANKED, RAW, REC, SCORED, STEPS, TRUTH, WORDS, f_beta, with_
 from loomlink.schemas import CAND, PAIR, REF
@@ -871,3 +871,39 @@ def pip09(spark, d):
     matching = _lists(spark, d).where(n % 31 != 0).withColumn("ids", F.when(n % 50 == 0, F.concat("ids", F.array(F.lit("S2-1"), F.lit("S1-1")))).otherwise(F.col("ids")))
     candidates = td.scored(spark, d).groupBy(F.col(REF).alias("ref")).agg(F.collect_list(CAND).alias("ids"))
     return checks.verify_outputs(matching, candidates, td.raw(spark, d).where("src = 1"))
+
+
+_FILES = """ml AS (SELECT r.entity_id AS ref, n, coalesce(l, '') AS list FROM (SELECT entity_id, CAST(split_part(entity_id, '-', 2) AS BIGINT) AS n FROM raw WHERE src = 1) r LEFT JOIN (SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY score DESC, candidate_entity_id) AS l FROM scored GROUP BY 1) s ON s.source1_entity_id = r.entity_id),
+mv AS (SELECT 2 * n AS line, CASE WHEN n % 43 = 0 THEN ref WHEN n % 41 = 0 THEN ref || chr(9) || 'S1-1,S2-2,S2-2' WHEN n % 37 = 0 THEN ref || 'x' || chr(9) || 'T-' || n ELSE ref || chr(9) || list END AS value FROM ml UNION ALL SELECT 2 * n + 1, ref || chr(9) || 'S3-0' FROM ml WHERE n % 29 = 0),
+cv AS (SELECT n AS line, ref || chr(9) || list AS value FROM ml),
+pm AS (SELECT line, value, CASE WHEN contains(value, chr(9)) THEN split_part(value, chr(9), 1) END AS ref, CASE WHEN contains(value, chr(9)) THEN CASE WHEN split_part(value, chr(9), 2) = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(split_part(value, chr(9), 2), ',') END END AS ids FROM mv),
+pc AS (SELECT line, split_part(value, chr(9), 1) AS ref, CASE WHEN split_part(value, chr(9), 2) = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(split_part(value, chr(9), 2), ',') END AS ids FROM cv),
+mi AS (SELECT DISTINCT unnest(ids) AS id FROM pm WHERE ref IS NOT NULL),
+lm AS (SELECT ref, arg_max(ids, line) AS ids FROM pm WHERE ref IS NOT NULL GROUP BY ref)"""
+
+
+@query(with_(RAW, REC, TRUTH, SCORED, _FILES) + """
+SELECT 'matching' AS file, 'error' AS severity, 'no_tab' AS rule, value AS entity FROM pm WHERE ref IS NULL
+UNION ALL SELECT 'matching', 'error', 'repeated_row', ref FROM pm WHERE ref IS NOT NULL GROUP BY ref HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'matching', 'error', 'repeated_id', ref FROM pm WHERE len(ids) > len(list_distinct(ids))
+UNION ALL SELECT 'matching', 'error', 'missing_reference', entity_id FROM raw WHERE src = 1 AND entity_id NOT IN (SELECT ref FROM pm WHERE ref IS NOT NULL)
+UNION ALL SELECT DISTINCT 'matching', 'error', 'unknown_reference', ref FROM pm WHERE ref IS NOT NULL AND ref NOT IN (SELECT entity_id FROM raw WHERE src = 1)
+UNION ALL SELECT 'matching', 'error', 'self_match', id FROM mi WHERE starts_with(id, 'S1-')
+UNION ALL SELECT 'matching', 'error', 'wrong_prefix', id FROM mi WHERE NOT regexp_matches(id, '^S[123]-')
+UNION ALL SELECT 'matching', 'error', 'unknown_id', id FROM mi WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT entity_id FROM raw WHERE src > 1)
+UNION ALL SELECT 'matching', 'warning', 'not_a_candidate', lm.ref FROM lm LEFT JOIN pc USING (ref) WHERE len(list_filter(lm.ids, lambda x: NOT list_contains(coalesce(pc.ids, CAST([] AS VARCHAR[])), x))) > 0""")
+def pip12_file_findings(spark, d):
+    n, tab = tx.id_number(F.col("ref")), F.lit("\t")
+    lists = io.id_lists(td.scored(spark, d), _refs(spark, d)).toDF("ref", "list").withColumn("n", n)
+    value = (
+        F.when(F.col("n") % 43 == 0, F.col("ref"))
+        .when(F.col("n") % 41 == 0, F.concat("ref", tab, F.lit("S1-1,S2-2,S2-2")))
+        .when(F.col("n") % 37 == 0, F.concat("ref", F.lit("x"), tab, F.lit("T-"), "n"))
+        .otherwise(F.concat("ref", tab, "list"))
+    )
+    again = lists.where("n % 29 = 0").select((2 * F.col("n") + 1).alias("at"), F.concat("ref", tab, F.lit("S3-0")).alias("value"))
+    matching = files.parsed(lists.select((2 * F.col("n")).alias("at"), value.alias("value")).unionByName(again))
+    candidates = files.parsed(lists.select(F.col("n").alias("at"), F.concat("ref", tab, "list").alias("value")))
+    raw = td.raw(spark, d)
+    found = files.row_findings(matching, "matching", raw.where("src = 1"), raw.where("src > 1"))
+    return found.unionByName(files.row_findings(candidates, "candidates", raw.where("src = 1"), raw.where("src > 1"))).unionByName(files.outside(matching, candidates))

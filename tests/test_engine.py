@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomlink.functions import similarity as sim
 from loomlink.functions import text as tx
-from loomlink.operators import blocking, checks, decision, evaluate, features, model
+from loomlink.operators import blocking, checks, decision, evaluate, features, files, model
 from loomlink.plans import catalog, linkage
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import config, io, testdata
@@ -303,3 +303,40 @@ def test_check_messages(spark):
     bad = spark.createDataFrame([("S1-1", ["S2-1", "S2-1"]), ("S1-1", ["S1-2"])], "ref string, ids array<string>")
     rules = {r["rule"] for r in checks.verify_outputs(bad, bad, spark.createDataFrame([("S1-3",)], "entity_id string")).collect()}
     assert {"repeated_row", "missing_reference", "unknown_reference", "repeated_id", "self_match"} <= rules
+
+
+def test_result_files(spark, tmp_path):
+    refs = spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",), (None,)], "entity_id string")
+    known = spark.createDataFrame([("S2-1",), ("S3-1",)], "entity_id string")
+    head = "source1_entity_id\tmatched_entity_ids\n"
+
+    def told(matching, candidates=None, ids=None):
+        for name, text in (("m.tsv", matching), ("c.tsv", candidates)):
+            if text is not None:
+                (tmp_path / name).write_text(text)
+        at = str(tmp_path / "c.tsv") if candidates is not None else None
+        found = files.validate_files(spark, str(tmp_path / "m.tsv"), at, refs, ids)
+        return {(r["file"][0], r["severity"][0], r["rule"], r["entity"]) for r in found.collect()}
+
+    absent = ("c", "w", "file_not_found", None)
+    assert told(None, ids=known) == {("m", "e", "file_not_found", None), absent}
+    assert told("", ids=known) == {("m", "e", "empty_file", None), absent}
+    assert told("source1_entity_id,matched_entity_ids\nS1-1,S2-1\n", ids=known) == {("m", "e", "comma_separated", None), absent}
+    assert told("id\tmatches\nS1-9\tx\n", ids=known) == {("m", "e", "wrong_header", None), absent}
+    fine = head.upper() + "S1-1\tS2-1,S3-1\nS1-2\t\n\nS1-3\t  \n"
+    assert told(fine, ids=known) == {absent}
+    assert told(fine) == {("m", "w", "ids_unchecked", None), absent}
+    cand = "source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-1\nS1-2\t\nS1-3\t\n"
+    assert told(fine, cand, known) == {("m", "w", "not_a_candidate", "S1-1")}
+    # the last of two rows counts against the candidates; a list that ends in a comma holds an empty id
+    bad = head + "S1-1\tS3-1\nS1-1\tS2-1\nS1-2\tS1-1,S2-9,S2-9\nodd\nS1-9\tS2-1,\n"
+    assert told(bad, cand, known) == {
+        ("m", "e", "repeated_row", "S1-1"), ("m", "e", "repeated_id", "S1-2"), ("m", "e", "self_match", "S1-1"), ("m", "e", "unknown_id", "S2-9"),
+        ("m", "e", "no_tab", "odd"), ("m", "e", "unknown_reference", "S1-9"), ("m", "e", "wrong_prefix", ""), ("m", "e", "missing_reference", "S1-3"),
+        ("m", "w", "not_a_candidate", "S1-2"), ("m", "w", "not_a_candidate", "S1-9"),
+    }
+    found = files.validate_files(spark, str(tmp_path / "m.tsv"), str(tmp_path / "c.tsv"), refs, known)
+    most = files.summary(found, 1).where("rule = 'not_a_candidate'").first()
+    assert (most["n"], most["examples"]) == (2, "S1-2")
+    io.write_tsv(spark.createDataFrame([("S1-1", ""), ("S1-2", "S2-1"), ("S1-3", "")], "source1_entity_id string, matched_entity_ids string").repartition(2), str(tmp_path / "folder"))
+    assert files.validate_files(spark, str(tmp_path / "folder"), None, refs, known).where("severity = 'error'").count() == 0
