@@ -44,6 +44,22 @@ def proportional(df: DataFrame, n: int, total: DataFrame, seed: int) -> DataFram
     return top.withColumn("_place", place).crossJoin(F.broadcast(size)).where("_place <= take").drop("_place", "take")
 
 
+def fit_rows(df: DataFrame, n: int, seed: int, id_col: str = "entity_id") -> DataFrame:
+    """n rows without replacement (all, if fewer): the first by hash of seed and id.
+
+    Rows are counted in 65,536 slices of the hash; slices before the n-th row are taken whole and only the one that
+    holds it is ranked, so no task sorts the table.
+    """
+    sliced = df.withColumn("_key", order_key(F.col(id_col), seed)).withColumn("_slice", F.substr("_key", F.lit(1), F.lit(4)))
+    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(W.orderBy("_slice"))  # over the slices' counts
+    places = F.broadcast(counts.select("_slice", upto.alias("_upto"), (upto - F.col("_n")).alias("_before")).where(F.col("_before") < n))
+    met = sliced.join(places, "_slice")
+    place = F.row_number().over(W.partitionBy("_slice").orderBy("_key", id_col))
+    edge = met.where(F.col("_upto") > n).withColumn("_place", place).where(F.col("_before") + F.col("_place") <= n)
+    return met.where(F.col("_upto") <= n).select(*df.columns).unionByName(edge.select(*df.columns))
+
+
 def bucket(c: Column) -> Column:
     """0, 1 or 2+."""
     return F.when(c == 0, "0").when(c == 1, "1").otherwise("2+")

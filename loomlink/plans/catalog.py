@@ -14,7 +14,7 @@ from loomlink.operators import audit, blocking, checks, decision, evaluate, feat
 from loomlink.plans import linkage, oracle
 from loomlink.plans.oracle import DEC, GRAMS, PER, RANKED, RAW, REC, SCORED, STEPS, TRUTH, WORDS, f_beta, with_
 from loomlink.schemas import CAND, PAIR, REF
-from loomlink.session import checkpoint
+from loomlink.session import checkpoint, once
 from loomlink.sources import io
 from loomlink.sources import testdata as td
 
@@ -782,6 +782,11 @@ def sim14(spark, d):
 # Learning
 
 
+@query("SELECT vec_id FROM (SELECT vec_id, row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) AS place FROM embeddings) WHERE place <= 300", "srt09_fit_rows")
+def srt09(spark, d):
+    return sampling.fit_rows(_table(spark, d, "embeddings"), 300, 42, "vec_id").select("vec_id")
+
+
 @query(None, "ml01_projection")
 def ml01(spark, d):
     return blocking.project(_table(spark, d, "embeddings"))
@@ -800,12 +805,20 @@ def _candidates(spark, d):
 
 
 def _training(spark, d):
-    """Features of pairs from the records themselves, with labels and the reference's country."""
-    pairs = _candidates(spark, d)
-    joined = features.join_pairs(pairs.drop("label"), td.records(spark, d), check=False)
-    made = features.FeatureExtractor().fit(td.records(spark, d)).transform(joined)
-    out = made.join(pairs, PAIR)
-    return checkpoint(out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF))
+    """Features of pairs from the records themselves, with labels and the reference's country; made once a session."""
+
+    def make():
+        pairs = _candidates(spark, d)
+        joined = features.join_pairs(pairs.drop("label"), td.records(spark, d), check=False)
+        out = features.FeatureExtractor().fit(td.records(spark, d)).transform(joined).join(pairs, PAIR)
+        return out.join(td.records(spark, d).select(F.col("entity_id").alias(REF), F.col("country").alias("source1_country")), REF)
+
+    return once(f"training {d}", make, spark)
+
+
+def _predicted(spark, d):
+    """The training pairs with the matcher's probability; fitted once a session."""
+    return once(f"predicted {d}", lambda: model.train_matcher(_training(spark, d)).predict(_training(spark, d)), spark)
 
 
 def _all_lists(spark, d):
@@ -822,9 +835,7 @@ def pip04(spark, d):
 
 @query(None, "ml03_ml06_matcher")
 def ml03(spark, d):
-    ready = _training(spark, d)
-    fitted = model.train_matcher(ready)
-    return fitted.predict(ready).select(*PAIR, "label", "probability")
+    return _predicted(spark, d).select(*PAIR, "label", "probability")
 
 
 @query(None, "ml08_leave_one_country_out")
@@ -873,6 +884,16 @@ def pip09(spark, d):
     return checks.verify_outputs(matching, candidates, td.raw(spark, d).where("src = 1"))
 
 
+@query(None, "pip05_pip08_inference")
+def pip08(spark, d):
+    """Both result lists of every reference, decided on the matcher's own probabilities for blocking's candidates."""
+    candidate = td.records(spark, d).select(F.col("entity_id").alias(CAND), F.col("country").alias("candidate_country"))
+    pairs = _predicted(spark, d).join(candidate, CAND)
+    accepted = decision.decide(pairs, THRESHOLD, RULE)
+    matching = io.id_lists(accepted, _refs(spark, d), F.desc("probability"), F.asc(CAND), name="matched_entity_ids")
+    return matching.join(io.id_lists(pairs, _refs(spark, d), F.asc("candidate_rank")), REF)
+
+
 _FILES = """ml AS (SELECT r.entity_id AS ref, n, coalesce(l, '') AS list FROM (SELECT entity_id, CAST(split_part(entity_id, '-', 2) AS BIGINT) AS n FROM raw WHERE src = 1) r LEFT JOIN (SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY score DESC, candidate_entity_id) AS l FROM scored GROUP BY 1) s ON s.source1_entity_id = r.entity_id),
 mv AS (SELECT 2 * n AS line, CASE WHEN n % 43 = 0 THEN ref WHEN n % 41 = 0 THEN ref || chr(9) || 'S1-1,S2-2,S2-2' WHEN n % 37 = 0 THEN ref || 'x' || chr(9) || 'T-' || n ELSE ref || chr(9) || list END AS value FROM ml UNION ALL SELECT 2 * n + 1, ref || chr(9) || 'S3-0' FROM ml WHERE n % 29 = 0),
 cv AS (SELECT n AS line, ref || chr(9) || list AS value FROM ml),
