@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomlink.functions import text as tx
 from loomlink.operators import blocking, checks, decision, evaluate, features, sampling
-from loomlink.operators.model import Matcher
+from loomlink.operators.model import Matcher, leave_one_country_out
 from loomlink.schemas import CAND, FEATURE_VERSION, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import io
 
@@ -104,6 +104,21 @@ def infer(s1: DataFrame, pool: DataFrame, pairs: DataFrame, extractor: features.
     return told
 
 
+def hold_out(df: DataFrame, truth: DataFrame, train: str, test: str, out: str, **options) -> dict:
+    """Fits on one country and exports the other's scored pairs, the sweep by threshold and the best one, in a new folder.
+
+    df has features, label and source1_country; truth is (ref, ids).
+    """
+    spark = df.sparkSession
+    _new_folder(spark, out)
+    fitted, swept, best = leave_one_country_out(df, truth, train, test, **options)
+    fitted.predict(df.where(F.col("source1_country") == test)).select(*PAIR, "label", "probability").write.parquet(f"{out}/pairs")
+    io.write_tsv(swept.orderBy("threshold").coalesce(1), f"{out}/sweep")  # a row for each threshold of the grid
+    told = {"train": train, "test": test, "best": best.first().asDict()}
+    io.write_manifest(spark, f"{out}/summary.json", told | {"files": io.digests(spark, out)})
+    return told
+
+
 def match_rates(predictions: DataFrame, s1: DataFrame) -> DataFrame:
     """(country, n, match_rate)."""
     met = predictions.join(s1.select(F.col("entity_id").alias("ref"), "country"), "ref")

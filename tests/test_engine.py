@@ -340,3 +340,17 @@ def test_result_files(spark, tmp_path):
     assert (most["n"], most["examples"]) == (2, "S1-2")
     io.write_tsv(spark.createDataFrame([("S1-1", ""), ("S1-2", "S2-1"), ("S1-3", "")], "source1_entity_id string, matched_entity_ids string").repartition(2), str(tmp_path / "folder"))
     assert files.validate_files(spark, str(tmp_path / "folder"), None, refs, known).where("severity = 'error'").count() == 0
+
+
+def test_hold_out_export(spark, tmp_path):
+    rows = [(f"S1-{k}", f"S2-{k + j}", *[0.9 - 0.7 * j] * len(FEATURES), 1 - j, "US" if k % 2 else "India") for k in range(24) for j in (0, 1)]
+    df = pairs(spark, rows, ", ".join(f"{c} double" for c in FEATURES) + ", label int, source1_country string")
+    truth = spark.createDataFrame([(f"S1-{k}", [f"S2-{k}"]) for k in range(24)], "ref string, ids array<string>")
+    told = linkage.hold_out(df, truth, "US", "India", str(tmp_path / "held"), n_folds=2, trees=2, columns=FEATURES)
+    listed = json.loads((tmp_path / "held/summary.json").read_text())["files"]
+    assert 0 < told["best"]["threshold"] < 1 and {p.split("/")[0] for p in listed} >= {"pairs", "sweep"}
+    held = spark.read.parquet(str(tmp_path / "held/pairs"))
+    assert held.count() == 24 and held.where("label IS NULL OR probability IS NULL").count() == 0
+    assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "held/sweep")).count() == 97
+    with pytest.raises(FileExistsError):
+        linkage.hold_out(df, truth, "US", "India", str(tmp_path / "held"), n_folds=2, trees=2, columns=FEATURES)
