@@ -89,6 +89,22 @@ def test_candidates_against_all_scored_pairs(spark, monkeypatch, block, asking,
     assert sorted(map(tuple, got.select(*PAIR, "score", "rank").collect())) == sorted(map(tuple, want.select(*PAIR, "score", "rank").collect()))
 
 
+def test_cosines_of_linked_pairs_only(spark, monkeypatch):
+    """As the cosines of all pairs, cut to the links; the query doesn't make all pairs."""
+    from loomlink.sources import testdata
+
+    rng = random.Random(5)
+    text = lambda: rng.choice([None, "a", " ".join(rng.choice(["rare", "shop", "main", "ab"]) for _ in range(3))])
+    records = lambda n, s: spark.createDataFrame([(f"S{s}-{k}", text(), text()) for k in range(n)], "entity_id string, name_norm string, address_norm string")
+    left, right, _ = blocking.vectors(records(12, 1), records(20, 2))
+    links = pairs(spark, [(f"S1-{rng.randrange(12)}", f"S2-{k}", 1.0) for k in range(20)]).select(*PAIR)
+    row = lambda r: (r[REF], r[CAND], r["field"], round(r["cosine"], 9))
+    want = sorted(map(row, blocking.pair_cosines(left, right).join(links, PAIR, "left_semi").collect()))
+    assert want and sorted(map(row, blocking.linked_cosines(links, left, right).collect())) == want
+    monkeypatch.setattr(blocking, "pair_cosines", lambda *a: pytest.fail("all pairs"))
+    assert testdata.links(spark, "/root/testdata/sf0.001").count() <= catalog.queries()["jn10_pair_cosines"](spark, "/root/testdata/sf0.001").count()
+
+
 def test_similarities():
     assert round(sim.jaro_winkler_of("abxyzq", "abmnop"), 4) == 0.5556
     assert round(sim.jaro_winkler_of("acme shop", "acme shops"), 2) == 0.98
