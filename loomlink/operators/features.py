@@ -33,13 +33,14 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda t: t != "")
 
 
-def word_idf(corpus: DataFrame, column: str, most: int = VOCABULARY) -> DataFrame:
-    """(token, idf) of the corpus's words: smoothed, for the `most` words most often used; nulls don't count."""
+def word_idf(corpus: DataFrame, column: str, most: int | None = VOCABULARY) -> DataFrame:
+    """(token, idf) of the corpus's words: smoothed, for the `most` words most often used (all, if None); nulls don't count."""
     texts = corpus.where(F.col(column).isNotNull()).select(words(F.col(column)).alias("w"))
     n = texts.agg(F.count("*").alias("n"))
-    tf = texts.select(F.explode("w").alias("token")).groupBy("token").agg(F.count("*").alias("tf"))
-    df = texts.select(F.explode(F.array_distinct("w")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    kept = tf.join(df, "token").orderBy(F.desc("tf"), "token").limit(most)
+    kept = texts.select(F.explode(F.array_distinct("w")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    if most is not None:
+        tf = texts.select(F.explode("w").alias("token")).groupBy("token").agg(F.count("*").alias("tf"))
+        kept = tf.join(kept, "token").orderBy(F.desc("tf"), "token").limit(most)
     return kept.crossJoin(F.broadcast(n)).select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 

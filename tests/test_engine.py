@@ -105,6 +105,17 @@ def test_cosines_of_linked_pairs_only(spark, monkeypatch):
     assert testdata.links(spark, "/root/testdata/sf0.001").count() <= catalog.queries()["jn10_pair_cosines"](spark, "/root/testdata/sf0.001").count()
 
 
+def test_idf_of_every_word(spark, tmp_path):
+    """Over 100,000 words in names: agg01 and sim03's weights have all, agg02 the cap that its SQL has."""
+    n = features.VOCABULARY // 4 + 100
+    word = lambda k: F.concat(F.lit("w"), (F.col("doc_id") * 4 + k).cast("string"))
+    docs = spark.range(n).select(F.col("id").alias("doc_id")).select("doc_id", F.concat_ws(" ", *map(word, range(4)), F.lit("street")).alias("text"), F.lit("en").alias("lang"), F.lit("src1").alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    folder = str(tmp_path)
+    assert catalog.queries()["agg01_word_idf"](spark, folder).count() == 4 * n
+    assert catalog.queries()["agg02_vocabulary_cap"](spark, folder).count() == features.VOCABULARY
+
+
 def test_similarities():
     assert round(sim.jaro_winkler_of("abxyzq", "abmnop"), 4) == 0.5556
     assert round(sim.jaro_winkler_of("acme shop", "acme shops"), 2) == 0.98
