@@ -3,12 +3,13 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loomlink.functions import similarity as sim
 from loomlink.functions import text as tx
-from loomlink.operators import blocking, checks, decision, evaluate, features, files, model
+from loomlink.operators import blocking, boosting, checks, decision, evaluate, features, files, model
 from loomlink.plans import catalog, linkage
 from loomlink.schemas import CAND, FEATURES, PAIR, REF, SCORED_FEATURES
 from loomlink.sources import config, io, testdata
@@ -265,6 +266,39 @@ def test_matcher(spark, tmp_path):
         model.train_matcher(df.where("label = 0"), n_folds=2, trees=2)
 
 
+def test_training_starts_few_jobs(spark):
+    """Each job costs the driver memory, so their number may not grow with the trees."""
+    rng = random.Random(6)
+    rows = [(f"S1-{r}", f"S2-{c}", int(c == 0), *(rng.random() + (c == 0) for _ in SCORED_FEATURES)) for r in range(100) for c in range(6)]
+    df = pairs(spark, rows, "label int, " + ", ".join(f"{k} double" for k in SCORED_FEATURES))
+    spark.sparkContext.setJobGroup("few jobs", "")
+    try:
+        fitted = model.train_matcher(df, n_folds=2, trees=30)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few jobs")) < 60
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [trees.feature.shape for trees, _ in fitted.members] == [(30, 63)] * 2
+
+
+def test_trees_by_hand(monkeypatch):
+    rng = np.random.default_rng(4)
+    codes, y = rng.integers(0, boosting.BINS, (7, 3000)).astype(np.uint8), rng.random(3000).astype(np.float32)
+    rows = np.flatnonzero(rng.random(3000) < 0.5).astype(np.int32)
+    for many in (1, 10**6):
+        monkeypatch.setattr(boosting, "MANY", many)
+        n, g = boosting._sums(boosting._keys(codes), rows, y)
+        assert all(n[f, b] == (codes[f, rows] == b).sum() and g[f, b] == pytest.approx(y[rows][codes[f, rows] == b].sum(dtype=float)) for f in range(7) for b in range(boosting.BINS))
+    label = (codes[2] > 11).astype(np.float32)
+    made = boosting.grow(codes, label, 1, 0.5, 1, 20, 1.0, 1.0, 3)
+    assert made.feature[0, 0] == 2 and made.last[0, 0] == 11
+    p = made.probability(codes)
+    share = label.mean()
+    for side in (0, 1):
+        m = (label == side).sum()
+        step = 0.5 * m * (side - share) / (m * share * (1 - share) + boosting.EASE)
+        assert p[label == side] == pytest.approx(1 / (1 + np.exp(-np.log(share / (1 - share)) - step)), abs=1e-5)
+
+
 @pytest.mark.parametrize("name", ["ml03_ml06_matcher", "ml08_leave_one_country_out"])
 def test_matcher_queries_fit_the_whole_ensemble(spark, monkeypatch, name):
     asked, made = [], model.GBTClassifier
