@@ -90,6 +90,23 @@ def test_candidates_against_all_scored_pairs(spark, monkeypatch, block, asking,
     assert sorted(map(tuple, got.select(*PAIR, "score", "rank").collect())) == sorted(map(tuple, want.select(*PAIR, "score", "rank").collect()))
 
 
+def test_copies_are_searched_for_once(spark, monkeypatch):
+    """Equal records are one class in the search, and each still has its rows, by place in the pool among equals."""
+    held, stored = [], blocking.kept
+    monkeypatch.setattr(blocking, "kept", lambda df: held.append(stored(df)) or held[-1])
+    texts = [("red blue", "12 main road"), ("old green x", None), ("red", "7 new road")]
+    rows = lambda s, copies: [(f"S{s}-{k * copies + c}", *t) for k, t in enumerate(texts) for c in range(copies)]
+    made = lambda r: spark.createDataFrame(r, "entity_id string, name_norm string, address_norm string")
+    s1, pool = made(rows(1, 4)), made(rows(2, 30))
+    plain = blocking.score_pairs(s1, pool).withColumn("score", F.round("score", 6))
+    place = -F.substr(F.col(CAND), F.lit(4)).cast("long")
+    want = blocking.top_k(plain.withColumn("pool_pos", place), 7, "pool_pos").select(*PAIR, "score", "rank")
+    got = blocking.retrieve_candidates(s1, pool.withColumn("pool_pos", -F.substr("entity_id", F.lit(4)).cast("long")), 7, digits=6)
+    assert sorted(map(tuple, got.select(*PAIR, "score", "rank").collect())) == sorted(map(tuple, want.collect()))
+    refs = next(df for df in held[1:] if "members" in df.columns)
+    assert refs.count() == len(texts) and refs.agg(F.sum(F.size("members"))).first()[0] == 12
+
+
 def test_cosines_of_linked_pairs_only(spark, monkeypatch):
     """As the cosines of all pairs, cut to the links; the query doesn't make all pairs."""
     from loomlink.sources import testdata
