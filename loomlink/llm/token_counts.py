@@ -9,7 +9,8 @@ highest total score, fewest pieces first among equals.
 
 Distinct pre-tokens are put into a trie: the forward score of a node, the best total for its prefix, is reckoned once
 from its ancestors', however many pre-tokens share the prefix, and terminal nodes give the counts. Which pieces end at a
-place is told by an Aho-Corasick automaton over all pieces. The trie is dropped and begun anew past NODES nodes.
+node is told by an Aho-Corasick automaton over all pieces, whose state each node keeps: a shared prefix is read once. The
+trie is dropped and begun anew past NODES nodes.
 Pre-tokens over LONG bytes are no part of it: their scores are reckoned along the way and only the last few kept.
 
 Defined results: null and empty texts have no tokens. Repeated rows are counted each, and weigh so in the estimate. An
@@ -21,8 +22,8 @@ counts in the estimate.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from math import ceil, log
 
 import ahocorasick
@@ -47,6 +48,8 @@ ROUNDS, SMOOTH = 2, 1.0
 SHARE = 100_000
 #: Distinct pre-tokens that a task counts before it passes them on.
 KNOWN = 200_000
+#: Steps of the automaton that are kept besides those along pieces.
+KNOWN_STEPS = 400_000
 
 
 def matcher(pieces: list[bytes]) -> ahocorasick.Automaton:
@@ -59,54 +62,95 @@ def matcher(pieces: list[bytes]) -> ahocorasick.Automaton:
     return found
 
 
+class Ends:
+    """An Aho-Corasick automaton that goes on byte by byte: links and the pieces of a state are derived when first asked
+    for and kept, so a node of a trie can hold the state of its prefix and no prefix is read again."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.child: dict[int, int] = {}
+        self.above, self.byte, self.own = [0], [0], [-1]
+        child = self.child
+        for k, piece in enumerate(pieces):
+            state = 0
+            for byte in piece:
+                below = child.get(state << 8 | byte)
+                if below is None:
+                    child[state << 8 | byte] = below = len(self.own)
+                    self.above.append(state), self.byte.append(byte), self.own.append(-1)
+                state = below
+            if state:
+                self.own[state] = k
+        self.lengths = [len(piece) for piece in pieces]
+        self.links = [0] + [-1] * (len(self.own) - 1)
+        self.known: dict[int, int] = {}
+        self.told: dict[int, tuple[tuple[int, int], ...]] = {0: ()}
+
+    def link(self, state: int) -> int:
+        """The state of the longest proper suffix that begins a piece."""
+        if (found := self.links[state]) < 0:
+            above = self.above[state]
+            self.links[state] = found = self.step(self.link(above), self.byte[state]) if above else 0
+        return found
+
+    def step(self, state: int, byte: int) -> int:
+        key = state << 8 | byte
+        found = self.child.get(key)
+        if found is None and (found := self.known.get(key)) is None:
+            found = self.step(self.link(state), byte) if state else 0
+            if len(self.known) >= KNOWN_STEPS:
+                self.known.clear()
+            self.known[key] = found
+        return found
+
+    def at(self, state: int) -> tuple[tuple[int, int], ...]:
+        """The pieces that end there as (number, length), the longest first."""
+        if (found := self.told.get(state)) is None:
+            own, rest = self.own[state], self.at(self.link(state))
+            self.told[state] = found = ((own, self.lengths[own]), *rest) if own >= 0 else rest
+        return found
+
+
 class Trie:
     """Forward scores of the prefixes seen so far, under pieces with scores."""
 
-    def __init__(self, pieces: list[bytes], scores: list[int], ends: ahocorasick.Automaton | None = None):
+    def __init__(self, pieces: list[bytes], scores: list[int], ends: Ends | None = None, whole: Callable[[], ahocorasick.Automaton] | None = None):
         self.scores, self.longest = scores, max(map(len, pieces))
         self.weights = [(x << PIECES) - 1 for x in scores]
-        self.ends = ends or matcher(pieces)
+        self.ends = ends or Ends(pieces)
+        self.whole = whole or lru_cache(1)(lambda: matcher(pieces))  # for long strings only
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
         self.score = [0]  # the best cut's score above its last PIECES bits, less its pieces: one order of both
         self.piece, self.start = [-1], [-1]  # the last piece of the best cut, and the node before it
+        self.state = [0]  # of the automaton, after the node's prefix
 
     def node(self, raw: bytes) -> int:
         """The node of raw, put in if it is new."""
-        child, score, weights = self.child, self.score, self.weights
-        node, path, sums = 0, [0], [0]
+        child, score, weights, ends = self.child, self.score, self.weights, self.ends
+        node, path = 0, [0]
         for byte in raw:
             if (node := child.get(node << 8 | byte, -1)) < 0:
                 break
             path.append(node)
-            sums.append(score[node])
-        known = at = len(path) - 1
-        if known == len(raw):
+        at = len(path) - 1
+        if at == len(raw):
             return path[-1]
-        best, piece, start = NONE, -1, -1
-        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):  # of those that end at a place, the longest comes first
-            if end < known:
-                continue
-            if end > at:
-                if best == NONE or end > at + 1:
-                    raise ValueError("the vocabulary lacks a byte")
-                self._put(raw, at, path, best, piece, start)
-                sums.append(best)
-                at, best = end, NONE
-            if (one := sums[end + 1 - n] + weights[k]) > best:
-                best, piece, start = one, k, end + 1 - n
-        if best == NONE or at != len(raw) - 1:
-            raise ValueError("the vocabulary lacks a byte")
-        self._put(raw, at, path, best, piece, start)
+        sums, state = [score[x] for x in path], self.state[path[-1]]
+        for at in range(at, len(raw)):
+            state = ends.step(state, raw[at])
+            best, piece, start = NONE, -1, -1
+            for k, n in ends.told.get(state) or ends.at(state):  # the longest comes first
+                if (one := sums[at + 1 - n] + weights[k]) > best:
+                    best, piece, start = one, k, at + 1 - n
+            if best == NONE:
+                raise ValueError("the vocabulary lacks a byte")
+            child[path[-1] << 8 | raw[at]] = new = len(score)
+            path.append(new), sums.append(best), score.append(best)
+            self.piece.append(piece), self.start.append(path[start]), self.state.append(state)
         return path[-1]
 
-    def _put(self, raw: bytes, at: int, path: list[int], best: int, piece: int, start: int) -> None:
-        self.child[path[-1] << 8 | raw[at]] = new = len(self.score)
-        path.append(new)
-        self.score.append(best), self.piece.append(piece), self.start.append(path[start])
-
     def full(self) -> bool:
         return len(self.score) > NODES
 
@@ -141,7 +185,7 @@ class Trie:
         lasts = np.zeros(len(raw) + 1 if keep else 0, np.int32)
         lengths = np.zeros(len(raw) + 1 if keep else 0, np.uint16)
         at, best, fewest, how = 1, None, 0, (-1, 0)
-        for end, (k, n) in self.ends.iter(raw.decode("latin-1")):
+        for end, (k, n) in self.whole().iter(raw.decode("latin-1")):
             if end >= at:
                 if best is None or end > at:
                     raise ValueError("the vocabulary lacks a byte")
@@ -183,6 +227,12 @@ class Counts(dict):
             self[word] = n
         return n
 
+    def learn(self, words: set[str]) -> None:
+        """Reckons the new words in order, which keeps to one part of the trie at a time; half a table at most."""
+        for word in sorted(words.difference(self))[: WORDS // 2]:
+            if len(word) <= LONG:
+                self[word]
+
 
 def first_scores(n: int) -> list[int]:
     """Scores by rank, as word frequencies fall."""
@@ -205,10 +255,19 @@ def matcher_of(path: str) -> ahocorasick.Automaton:
     return matcher(vocabulary(path))
 
 
+@lru_cache(2)
+def ends_of(path: str) -> Ends:
+    return Ends(vocabulary(path))
+
+
+def trie_of(path: str, scores: list[int]) -> Trie:
+    return Trie(vocabulary(path), scores, ends_of(path), partial(matcher_of, path))
+
+
 @lru_cache(1)
 def counts_of(path: str, scores: tuple[int, ...]) -> Counts:
     """One table of counts for each Python worker, so that its tasks share the trie."""
-    return Counts(Trie(vocabulary(path), list(scores), matcher_of(path)))
+    return Counts(trie_of(path, list(scores)))
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -249,7 +308,7 @@ def estimate(df: DataFrame, text_col: str = "text", path: str | None = None, rou
         shared = spark.sparkContext.broadcast(scores)  # one number for each piece
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            trie, used, times = Trie(vocabulary(path), shared.value, matcher_of(path)), Counter(), {}
+            trie, used, times = trie_of(path, shared.value), Counter(), {}
             for batch in batches:
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if len(word) > LONG:
@@ -278,10 +337,10 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         counts = counts_of(path, shared.value)
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
-                rows = []
-                for text in batch.column(1).to_pylist():
-                    words = pre_tokens(text or "")
-                    rows.append((len(words), len(set(words)), sum(map(counts.__getitem__, words))))
+                texts = [pre_tokens(text or "") for text in batch.column(1).to_pylist()]
+                apart = [set(words) for words in texts]
+                counts.learn(set().union(*apart))
+                rows = [(len(words), len(own), sum(map(counts.__getitem__, words))) for words, own in zip(texts, apart, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))], [id_col, *NAMES])
 
     schema = T.StructType([df.schema[id_col], *(T.StructField(c, T.LongType()) for c in NAMES)])

@@ -216,3 +216,25 @@ def test_odd_inputs(spark, tmp_path):
     assert [r["score"] for r in qc.op7_quality_classifier(spark, str(tmp_path)).collect()] == [0.5] * 4
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert qc.classify(empty, qc.fit([], np.zeros(0))).count() == 0 and token_counts.count_tokens(empty).count() == 0
+
+
+def test_automaton_reads_a_shared_prefix_once():
+    names = token_counts.vocabulary(bpe.default_path())
+    ends, known = token_counts.Ends(names), {p: k for k, p in enumerate(names)}
+    for raw in (b" tokenisation", "naïve café 日本".encode(), b"        x"):
+        state = 0
+        for at, byte in enumerate(raw):
+            state = ends.step(state, byte)
+            want = [(known[raw[i : at + 1]], at + 1 - i) for i in range(at + 1) if raw[i : at + 1] in known]
+            assert list(ends.at(state)) == want
+    scores = token_counts.first_scores(len(names))
+    plain, trie = token_counts.Trie(names, scores), token_counts.Trie(names, scores, ends, lambda: pytest.fail("read from the start"))
+    for raw in (b"zqjxkwvab", b"zqjxkwvacd", b"zqjxkwva"):
+        assert trie.tokens(raw) == plain.along(raw)[0]
+    state = 0
+    for byte in b"zqjxkwvacd":
+        state = ends.step(state, byte)
+    assert trie.state[trie.node(b"zqjxkwvacd")] == state and len(trie.score) == 1 + 9 + 2
+    counts = token_counts.Counts(trie)
+    counts.learn({"b", "a", " tokens"})
+    assert list(counts) == [" tokens", "a", "b"]
