@@ -107,6 +107,25 @@ def test_copies_are_searched_for_once(spark, monkeypatch):
     assert refs.count() == len(texts) and refs.agg(F.sum(F.size("members"))).first()[0] == 12
 
 
+def test_features_need_no_join_for_words(spark):
+    """The same similarities as by joins, to a float's digits, and no rows dealt out."""
+    rng = random.Random(9)
+    text = lambda: rng.choice([None, "", "zz", " ".join(rng.choices("red blue green old new tall".split(), k=rng.randrange(1, 5))), "red\tred  blue"])
+    rows = [(f"S1-{k}", f"S2-{k}", text(), text(), text(), text()) for k in range(200)]
+    joined = spark.createDataFrame(rows, f"{REF} string, {CAND} string, source1_name string, source1_address string, candidate_name string, candidate_address string")
+    corpus = spark.createDataFrame([("red blue blue", "red old"), ("green blue", "new"), ("tall", None)], "name_norm string, address_norm string")
+    fitted = features.FeatureExtractor().fit(corpus)
+    made = fitted.transform(joined, "double")
+    got = {r[REF]: r for r in made.collect()}
+    for f in ("name", "address"):
+        want = {r[REF]: r for r in features.word_similarities(joined, fitted.idf[f], f).collect()}
+        assert want and len(got) == 200
+        for key, r in got.items():
+            for c, name in (("tfidf_cosine", "cosine"), ("idf_overlap", "overlap")):
+                assert r[f"{f}_{c}"] == (pytest.approx(want[key][name], abs=1e-12) if key in want else None)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cosines_of_linked_pairs_only(spark, monkeypatch):
     """As the cosines of all pairs, cut to the links; the query doesn't make all pairs."""
     from loomlink.sources import testdata
