@@ -90,6 +90,41 @@ def test_candidates_against_all_scored_pairs(spark, monkeypatch, block, asking,
     assert sorted(map(tuple, got.select(*PAIR, "score", "rank").collect())) == sorted(map(tuple, want.select(*PAIR, "score", "rank").collect()))
 
 
+@pytest.mark.parametrize("wide,chunk,turn,width,digits", [(3, 2, 1, (1, 2), 6), (9, 5, 2, (4, 300), 6), (32768, 8192, 16, (128, 256), None)])
+def test_search_in_parts_finds_the_best_of_all(spark, monkeypatch, wide, chunk, turn, width, digits):
+    """Dense columns and lists of any share, blocks, chunks and turns; letters of any script, and words without a gram."""
+    for name, value in (("WIDE", wide), ("CHUNK", chunk), ("TURN", turn)):
+        monkeypatch.setattr(blocking, name, value)
+    monkeypatch.setattr(blocking.search, "WIDTH", width)
+    rng = random.Random(5)
+    words = "red blue greenish x 12 7 дом été 😀 new".split()
+    text = lambda: " ".join(rng.choices(words, k=rng.randrange(4))) or None
+    rows = [(f"S{s}-{k}", text(), text()) for s in (1, 2) for k in range(24)] + [("S1-90", "x", None), ("S2-90", None, "x"), ("S2-91", "x", "x"), ("S1-91", "zzz", "qqq")]
+    df = spark.createDataFrame(rows, "entity_id string, name_norm string, address_norm string")
+    s1, pool = df.where("entity_id like 'S1%'"), df.where("entity_id like 'S2%'")
+    plain = blocking.score_pairs(s1, pool).withColumn("score", F.round("score", 6))
+    got = blocking.retrieve_candidates(s1, pool, 6, digits=digits).withColumn("score", F.round("score", 6))
+    full = {(r[REF], r[CAND]): r["score"] for r in plain.collect()}
+    rows = [tuple(r) for r in got.select(*PAIR, "score", "rank").collect()]
+    assert all(full[a, b] == x for a, b, x, _ in rows)
+    if digits:
+        assert sorted(rows) == sorted(map(tuple, blocking.top_k(plain, 6).select(*PAIR, "score", "rank").collect()))
+    for ref in {a for a, _ in full}:
+        assert sorted(x for a, _, x, _ in rows if a == ref) == sorted((x for (a, _), x in full.items() if a == ref), reverse=True)[:6][::-1]
+
+
+def test_search_makes_no_row_for_a_block(spark, monkeypatch):
+    """A reference has its k rows once for a turn, however many tasks and blocks there are."""
+    monkeypatch.setattr(blocking, "WIDE", 5)
+    held, stored = [], blocking.kept
+    monkeypatch.setattr(blocking, "kept", lambda df: held.append(stored(df)) or held[-1])
+    monkeypatch.setattr(blocking, "drop", lambda *_: None)
+    text = lambda k: f"shop {k % 7} of {k}"
+    made = lambda s, n: spark.createDataFrame([(f"S{s}-{k}", text(k), f"{k} road") for k in range(n)], "entity_id string, name_norm string, address_norm string")
+    blocking.retrieve_candidates(made(1, 10), made(2, 60), 4, digits=6)
+    assert [df.count() for df in held if "score" in df.columns] == [40]
+
+
 def test_copies_are_searched_for_once(spark, monkeypatch):
     """Equal records are one class in the search, and each still has its rows, by place in the pool among equals."""
     held, stored = [], blocking.kept
