@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlink.functions import text as tx
@@ -22,6 +22,10 @@ def _kept(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return run
 
 
+def _normalized(c: str) -> Column:
+    return tx.normalize_text(F.col(c), tx.join_initials_in_pairs)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, src, entity_id, business_name, business_address, country."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
@@ -43,15 +47,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized records with doc_id and src."""
     base = raw(spark, sf_dir)
     name, suffix = tx.split_suffix(F.col("_n"))
-    base = base.withColumn("_n", tx.normalize_text(F.col("business_name")))
-    return base.select("doc_id", "src", "entity_id", name.alias("name_norm"), suffix.alias("legal_suffix"), tx.normalize_text(F.col("business_address")).alias("address_norm"), "country")
+    base = base.withColumn("_n", _normalized("business_name"))
+    return base.select("doc_id", "src", "entity_id", name.alias("name_norm"), suffix.alias("legal_suffix"), _normalized("business_address").alias("address_norm"), "country")
 
 
 @_kept
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, src, entity_id, key): the key is the first eight words of the whole text, normalized."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    words = F.split(tx.normalize_text(F.col("text")), " ")
+    words = F.split(_normalized("text"), " ")
     keys = docs.select("doc_id", F.array_join(F.slice(words, 1, 8), " ").alias("key"))
     return raw(spark, sf_dir).select("doc_id", "src", "entity_id").join(keys, "doc_id")
 
