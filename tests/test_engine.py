@@ -4,6 +4,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,19 @@ def test_copies_are_searched_for_once(spark, monkeypatch):
     assert refs.count() == len(texts) and refs.agg(F.sum(F.size("members"))).first()[0] == 12
 
 
+def test_similarities_of_many_pairs_at_once():
+    """The same numbers as one by one, bit for bit; only texts that are empty or have over 64 characters go one by one."""
+    rng, alone = random.Random(2), []
+    for letters, most in (("ab", 9), ("abc é", 30), ("abcdef gh", 80), ("дx😀 ", 12)):
+        text = lambda: "".join(rng.choices(letters, k=rng.randrange(most)))  # noqa: B023, E731
+        x, y = [*(text() for _ in range(3000)), None, "a", "a" * 64, "ab" * 32], [*(text() for _ in range(3000)), "a", None, "a" * 64, "ba" * 32]
+        for one, many, prepared in ((sim.jaro_winkler_of, sim._jaro_winkler_all, None), (sim.token_sort_of, sim._token_sort_all, sim._sorted_words)):
+            noted = lambda s, t: alone.append((s, t)) or one(s, t)  # noqa: B023, E731
+            got = sim._pairwise(pd.Series(x), pd.Series(y), noted, many, prepared).tolist()
+            assert all(g == one(s, t) if s is not None and t is not None else g != g for g, s, t in zip(got, x, y, strict=True))
+    assert alone and all(not s or not t or len(s) > 64 or len(t) > 64 for s, t in alone)
+
+
 def test_features_need_no_join_for_words(spark):
     """The same similarities as by joins, to a float's digits, and no rows dealt out."""
     rng = random.Random(9)
