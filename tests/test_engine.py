@@ -351,6 +351,16 @@ def test_matcher(spark, tmp_path):
         model.train_matcher(df.where("label = 0"), n_folds=2, trees=2)
 
 
+def test_folds_without_both_classes_do_not_count(spark):
+    """A fold whose held-out part has no link can't be calibrated; it may not draw the others' probabilities to zero."""
+    rng = random.Random(8)
+    rows = [(f"S1-{r}", f"S2-{c}", int(c == 0), *(rng.random() + 2 * (c == 0) for _ in SCORED_FEATURES)) for r in range(120) for c in range(5)]
+    df = pairs(spark, rows, "label int, " + ", ".join(f"{k} double" for k in SCORED_FEATURES))
+    df = model.folds(df, 3).where("label = 0 or fold <> 2").drop("fold")
+    fitted = model.train_matcher(df, n_folds=3, trees=10)
+    assert len(fitted.members) == 2 and fitted.predict(df).where("label = 1").agg(F.avg("probability")).first()[0] > 0.9
+
+
 def test_training_starts_few_jobs(spark):
     """Each job costs the driver memory, so their number may not grow with the trees."""
     rng = random.Random(6)
